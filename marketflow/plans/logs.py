@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from marketflow.functions.dates import parse_apache_time
 from marketflow.functions.numbers import safe_divide
-from marketflow.functions.strings import regex_groups
 
 # Fixed value: the common log format as nine groups.  (?U) gives \s and \w their Unicode meaning.
 LOG_LINE = (
@@ -15,6 +14,8 @@ LOG_LINE = (
     r'"(\S+) (\S+)\s*(\S*)\s*" (\d{3}) (\S+)'
 )
 
+GROUPS = "\n".join(f"${i}" for i in range(1, 10))
+
 FIELDS = [
     "host", "client_identd", "user_id", "date_time", "method",
     "endpoint", "protocol", "response_code", "content_size",
@@ -27,11 +28,18 @@ def parse_access_log(lines: DataFrame, col: str = "value") -> DataFrame:
     A line is not ok when it misses the pattern, or when its time or size cannot be read; its
     typed fields are then null.  A size of ``-`` counts as 0.
     """
-    text = dict(zip(FIELDS, regex_groups(F.col(col), LOG_LINE, 9)))
-    raw = lines.select(F.col(col).alias("line"), *[c.alias(f"_{n}") for n, c in text.items()])
+    # The pattern runs once per line: matching lines become their nine groups, one per line break,
+    # which a line of text cannot contain itself.
+    groups = F.split(F.regexp_replace(F.col(col), LOG_LINE + r"(?s:.*)$", GROUPS), "\n")
+    raw = lines.select(F.col(col).alias("line"), groups.alias("_g")).select(
+        "line",
+        (F.size("_g") == 9).alias("_matched"),
+        *[F.get("_g", F.lit(i)).alias(f"_{n}") for i, n in enumerate(FIELDS)],
+    )
     dash = F.col("_content_size") == "-"
     typed = raw.select(
         "line",
+        "_matched",
         *[F.col(f"_{n}").alias(n) for n in FIELDS if n not in ("date_time", "response_code", "content_size")],
         parse_apache_time(F.col("_date_time")).alias("date_time"),
         F.col("_response_code").try_cast("int").alias("response_code"),
@@ -39,7 +47,7 @@ def parse_access_log(lines: DataFrame, col: str = "value") -> DataFrame:
         dash.alias("size_missing"),
     )
     ok = (
-        (F.col("host") != "")
+        F.col("_matched")
         & F.col("date_time").isNotNull()
         & F.col("response_code").isNotNull()
         & F.col("content_size").isNotNull()
