@@ -57,9 +57,10 @@ def read_csv(
     return reader.options(**options).csv(path)
 
 
-def with_file_date(df: DataFrame, name: str = "file_date") -> DataFrame:
-    """Processing date from the name of the file each row came from."""
-    return df.withColumn(name, file_date(F.col("_metadata.file_name")))
+def with_file_date(df: DataFrame, name: str = "file_date", source: str = "name") -> DataFrame:
+    """Processing date from the file each row came from: its name, or its whole path."""
+    field = {"name": "_metadata.file_name", "path": "_metadata.file_path"}[source]
+    return df.withColumn(name, file_date(F.col(field)))
 
 
 def read_xml(

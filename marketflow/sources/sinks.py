@@ -49,8 +49,14 @@ def spread_by(df: DataFrame, partition_by: Sequence[str], salts: int = 8) -> Dat
 
 def overwrite_partitions(df: DataFrame, name: str) -> None:
     """Replace only the partitions of ``name`` that occur in ``df``; columns are matched by name."""
-    target = df.sparkSession.table(name).columns
-    df.select(*target).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+    spark = df.sparkSession
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(key, before)
 
 
 def insert_rows(spark: SparkSession, name: str, rows: Sequence[tuple]) -> None:

@@ -57,11 +57,14 @@ fo AS (SELECT
 
 
 def cm_bhav(t: Tables) -> DataFrame:
-    """Cash-market rows from orders: a priority is a symbol, so symbols are few and large."""
+    """Cash-market rows from orders: a priority is a symbol, so symbols are few and large.
+
+    Prices are in hundredths, so that sums and averages are exact in both engines.
+    """
     return t.orders.select(
         F.upper(F.substring("o_orderpriority", 3, 20)).alias("SYMBOL"),
         F.col("o_orderstatus").alias("SERIES"),
-        F.col("o_totalprice").alias("CLOSE"),
+        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("CLOSE"),
         F.col("o_custkey").alias("TOTTRDQTY"),
         F.col("o_totalprice").alias("TOTTRDVAL"),
         F.upper(F.date_format("o_orderdate", "dd-MMM-yyyy")).alias("TIMESTAMP"),
@@ -72,7 +75,7 @@ def cm_bhav(t: Tables) -> DataFrame:
 
 CM = """
 cm AS (SELECT upper(substring(o_orderpriority, 3, 20)) AS SYMBOL, o_orderstatus AS SERIES,
-    o_totalprice AS CLOSE, o_custkey AS TOTTRDQTY, o_totalprice AS TOTTRDVAL,
+    round(o_totalprice * 100)::BIGINT AS CLOSE, o_custkey AS TOTTRDQTY, o_totalprice AS TOTTRDVAL,
     upper(strftime(o_orderdate, '%d-%b-%Y')) AS TIMESTAMP, o_orderkey AS TRADE_ID,
     o_orderdate::DATE AS tsp
   FROM orders)

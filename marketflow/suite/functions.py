@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketflow.functions import dates as D
 from marketflow.functions import numbers as N
 from marketflow.functions import strings as S
+from marketflow.streaming.sources import with_ingest_time
 from marketflow.suite.registry import query
 
 _SHIP = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
@@ -162,8 +164,6 @@ def _(t):
 
 @query("dt_07_ingest_time", "SELECT event_id, true AS stamped FROM events")
 def _(t):
-    from marketflow.streaming.sources import with_ingest_time
-
     rows = with_ingest_time(t.events)
     return rows.select("event_id", (F.col("timestamp") > F.lit("2020-01-01").cast("timestamp")).alias("stamped"))
 
@@ -232,9 +232,9 @@ def _(t):
     return t.orders.select("o_orderkey", N.seeded_rand_int(1, 100).alias("r"))
 
 
-@query("ma_07_round", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_extendedprice * 1.001, 4) AS p FROM lineitem")
+@query("ma_07_round", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_extendedprice * 1.001, 5) AS p FROM lineitem")
 def _(t):
-    return t.lineitem.select(*_K, F.round(F.col("l_extendedprice") * 1.001, 4).alias("p"))
+    return t.lineitem.select(*_K, F.round(F.col("l_extendedprice") * 1.001, 5).alias("p"))
 
 
 @query(
@@ -259,8 +259,6 @@ def _(t):
 
 @query("ud_01_scalar_udf", "SELECT o_orderkey, o_totalprice * 10 AS tenfold FROM orders")
 def _(t):
-    import pandas as pd
-
     @F.pandas_udf(T.DoubleType())
     def tenfold(v: pd.Series) -> pd.Series:
         return v * 10
@@ -270,8 +268,6 @@ def _(t):
 
 @query("ud_02_registered_udf", "SELECT o_orderkey, upper(o_orderpriority) AS p FROM orders")
 def _(t):
-    import pandas as pd
-
     @F.pandas_udf(T.StringType())
     def shout(v: pd.Series) -> pd.Series:
         return v.str.upper()
