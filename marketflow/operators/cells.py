@@ -301,7 +301,9 @@ def wide_to_cells(df: DataFrame, key: Column, mapping: dict[str, str], ts: Colum
             )
         )
     stamp = ts if isinstance(ts, Column) else F.lit(ts)
-    long = df.select(key.alias("row"), stamp.cast("long").alias("ts"), F.explode(F.array(*entries)).alias("_c"))
+    # The key is a column of its own first, so that it is built once per row and not per cell.
+    keyed = df.select(key.alias("row"), stamp.cast("long").alias("ts"), *mapping)
+    long = keyed.select("row", "ts", F.explode(F.array(*entries)).alias("_c"))
     return long.filter("_c.value is not null").select(
         "row", "_c.family", "_c.qualifier", "ts", F.lit(0).cast("long").alias("seq"), "_c.value",
         F.lit(False).alias("is_delete"),

@@ -9,11 +9,10 @@ carry what crosses a cut.  Rows are never dropped: cold keys simply have no cuts
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 from itertools import groupby
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,46 +22,54 @@ MAX_RANGES = 8192
 
 @dataclass
 class HotKeys:
-    """Cut points of the hot keys: at most one row per key, ``ranges`` cuts in all."""
+    """Cut points of the hot keys: at most one row per key, MAX_RANGES cuts in all.
+
+    A row's range is a function of its own key and order values, so a task that is run again gives
+    the same answer, and rows that tie on the order share a range.  ``heavy_ties`` tells that one
+    order value alone fills whole ranges.
+    """
 
     keys: list[str]
     order: list[str]
     table: DataFrame
+    longest: int
+    heavy_ties: bool
 
-    def tag(self, df: DataFrame) -> DataFrame:
-        """Add ``_range``: 0.. for rows of hot keys, null for the others.
-
-        The range is a function of the row's own key and order values, so a task that is run
-        again gives the same answer, and rows that tie on the order share a range.
-        """
+    def _match(self, df: DataFrame, how: str) -> DataFrame:
         cuts = self.table.toDF(*[f"_hot_{k}" for k in self.keys], "_cuts")
         match = F.lit(True)
         for k in self.keys:
             match = match & F.col(k).eqNullSafe(F.col(f"_hot_{k}"))
         # Bounded: find_hot_keys keeps at most MAX_RANGES cut points over all keys.
-        joined = df.join(F.broadcast(cuts), match, "left")
+        return df.join(F.broadcast(cuts), match, how)
+
+    def _ranged(self, joined: DataFrame) -> DataFrame:
+        """Count the cuts at or before each row, by steps of falling powers of two.
+
+        One projection per step keeps the search in generated code.  Past the end of the array the
+        comparison is null, so the step is not taken.
+        """
         probe = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(self.order)])
-        return joined.withColumn("_range", _cuts_at_or_before(F.col("_cuts"), probe)).drop(
-            "_cuts", *[f"_hot_{k}" for k in self.keys]
+        at = F.col("_range")
+        found = joined.withColumns({"_probe": probe, "_range": F.lit(0)})
+        for step in [2**i for i in reversed(range(self.longest.bit_length()))]:
+            taken = F.get("_cuts", at + (step - 1)) <= F.col("_probe")
+            found = found.withColumn("_range", F.when(taken, at + step).otherwise(at))
+        return found.withColumn("_range", F.when(F.col("_cuts").isNotNull(), at)).drop(
+            "_cuts", "_probe", *[f"_hot_{k}" for k in self.keys]
         )
 
+    def tag(self, df: DataFrame) -> DataFrame:
+        """All rows with ``_range``: 0.. for rows of hot keys, null for the others."""
+        return self._ranged(self._match(df, "left"))
 
-def _cuts_at_or_before(cuts: Column, probe: Column) -> Column:
-    """How many of the sorted ``cuts`` are <= probe, by halving; null when there are no cuts."""
-    steps = int(math.log2(MAX_RANGES)) + 1
-
-    def halve(span: Column, _: Column) -> Column:
-        mid = F.floor((span["lo"] + span["hi"]) / 2).cast("int")
-        right = F.get(cuts, mid) <= probe
-        open_ = span["lo"] < span["hi"]
-        return F.struct(
-            F.when(open_ & right, mid + 1).otherwise(span["lo"]).alias("lo"),
-            F.when(open_ & ~right, mid).otherwise(span["hi"]).alias("hi"),
-        )
+    def hot(self, df: DataFrame) -> DataFrame:
+        """Rows of hot keys with their ``_range``."""
+        return self._ranged(self._match(df, "inner"))
 
-    start = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda s: s["lo"])
-    return F.when(cuts.isNotNull(), found)
+    def cold(self, df: DataFrame) -> DataFrame | None:
+        """Rows of the other keys; None when the whole table is one group."""
+        return self._match(df, "left_anti") if self.keys else None
 
 
 def find_hot_keys(
@@ -90,20 +97,24 @@ def find_hot_keys(
     rows = draw.collect()
     # A key is hot above 1.5 average ranges; fewer sampled rows would be noise.
     floor = int(1.5 * ROWS_PER_CUT)
-    hot = []
+    hot, longest, heavy_ties = [], 0, False
     for key, members in groupby(rows, key=lambda r: tuple(r[:-1])):
         at = [m[-1] for m in members]
         if len(at) <= floor and keys:
             continue
         cuts = []
         for cut in at[ROWS_PER_CUT::ROWS_PER_CUT]:
-            if not cuts or cut != cuts[-1]:
+            if cuts and cut == cuts[-1]:
+                heavy_ties = True
+            else:
                 cuts.append(cut)
         if cuts:
             hot.append((*key, cuts))
+            longest = max(longest, len(cuts))
     if not hot:
         return None
     schema = T.StructType(
         [*draw.schema.fields[:-1], T.StructField("_cuts", T.ArrayType(draw.schema["_at"].dataType))]
     )
-    return HotKeys(list(keys), list(order), spark.createDataFrame(hot, schema))
+    table = spark.createDataFrame(hot, schema)
+    return HotKeys(list(keys), list(order), table, longest, heavy_ties)

@@ -48,6 +48,9 @@ def _entry(spark: SparkSession, path: str, version: int | None = None, as_of=Non
 
 def _write(df: DataFrame, path: str, partition_by: Sequence[str]) -> str:
     folder = f"data/{uuid.uuid4().hex}"
+    if partition_by:
+        # Few, even files per directory; adaptive execution splits a hot one.
+        df = df.hint("rebalance", *partition_by)
     df.write.partitionBy(*partition_by).parquet(f"{path}/{folder}")
     return folder
 

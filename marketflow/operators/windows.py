@@ -18,9 +18,9 @@ from marketflow.operators.skew import HotKeys, find_hot_keys
 BLOCK_ROWS = 65_536
 
 
-def _cold_and_hot(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
-    hot = tagged.filter(F.col("_range").isNotNull())
-    return tagged.filter(F.col("_range").isNull()).drop("_range"), hot
+def _rejoin(cold: DataFrame | None, hot: DataFrame, columns: list[str]) -> DataFrame:
+    hot = hot.select(*columns)
+    return hot if cold is None else cold.select(*columns).unionByName(hot)
 
 
 def _carried(hot_rows: DataFrame, keys: list[str], totals: dict[str, Column]) -> DataFrame:
@@ -103,14 +103,15 @@ def running_sum(
 
     if hot is None:
         return df.withColumns({n: F.sum(c).over(over(keys)) for n, c in sums.items()})
-    cold_rows, hot_rows = _cold_and_hot(hot.tag(df))
-    cold = cold_rows.withColumns({n: F.sum(c).over(over(keys)) for n, c in sums.items()})
+    cold, hot_rows = hot.cold(df), hot.hot(df)
+    if cold is not None:
+        cold = cold.withColumns({n: F.sum(c).over(over(keys)) for n, c in sums.items()})
     carried = _carried(hot_rows, keys, {n: F.sum(c) for n, c in sums.items()})
-    if frame == "rows":
+    if frame == "rows" or not hot.heavy_ties:
         part = [*keys, "_range"]
         summed = hot_rows.withColumns({n: F.sum(c).over(over(part)) for n, c in sums.items()})
     else:
-        # One date may itself hold most of a hot key, so its rows are added up before the window
+        # One date alone holds a large part of a key, so its rows are added up before the window
         # and the total is joined back; adaptive execution splits the large side of that join.
         peers = hot_rows.groupBy(*keys, "_range", *order).agg(
             *[F.sum(c).alias(n) for n, c in sums.items()]
@@ -124,7 +125,7 @@ def running_sum(
     summed = _with_carried(summed, carried, keys).withColumns(
         {n: _plus(F.col(n), F.col(f"_c_{n}")) for n in sums}
     )
-    return cold.unionByName(summed.select(*cold.columns))
+    return _rejoin(cold, summed, [*df.columns, *sums])
 
 
 def _plus(total: Column, earlier: Column) -> Column:
@@ -151,10 +152,11 @@ def rows_back(
     hot = find_hot_keys(df, keys, order, ranges)
     if hot is None:
         return df.withColumns(columns(W.partitionBy(*keys).orderBy(*order)))
-    cold_rows, hot_rows = _cold_and_hot(hot.tag(df))
-    cold = cold_rows.withColumns(columns(W.partitionBy(*keys).orderBy(*order)))
+    cold = hot.cold(df)
+    if cold is not None:
+        cold = cold.withColumns(columns(W.partitionBy(*keys).orderBy(*order)))
     size = max(block_rows, depth)
-    numbered = _number_hot(hot_rows, keys, order, "_rno").drop("_range")
+    numbered = _number_hot(hot.hot(df), keys, order, "_rno").drop("_range")
     block = F.floor((F.col("_rno") - 1) / size)
     to_next = ((F.col("_rno") - 1) % size) >= size - depth
     copies = numbered.withColumn(
@@ -162,7 +164,8 @@ def rows_back(
     )
     windowed = copies.withColumns(columns(W.partitionBy(*keys, "_block").orderBy("_rno")))
     own = F.col("_block") == F.floor((F.col("_rno") - 1) / size)
-    return cold.unionByName(windowed.filter(own).select(*cold.columns))
+    added = [c for c in windowed.columns if c not in copies.columns]
+    return _rejoin(cold, windowed.filter(own), [*df.columns, *added])
 
 
 def moving_avg(

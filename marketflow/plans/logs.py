@@ -29,9 +29,10 @@ def parse_access_log(lines: DataFrame, col: str = "value") -> DataFrame:
     typed fields are then null.  A size of ``-`` counts as 0.
     """
     # The pattern runs once per line: matching lines become their nine groups, one per line break,
-    # which a line of text cannot contain itself.
+    # which a line of text cannot contain itself.  Exploding the one array keeps later filters from
+    # repeating the pattern below this point.
     groups = F.split(F.regexp_replace(F.col(col), LOG_LINE + r"(?s:.*)$", GROUPS), "\n")
-    raw = lines.select(F.col(col).alias("line"), groups.alias("_g")).select(
+    raw = lines.select(F.col(col).alias("line"), F.explode(F.array(groups)).alias("_g")).select(
         "line",
         (F.size("_g") == 9).alias("_matched"),
         *[F.get("_g", F.lit(i)).alias(f"_{n}") for i, n in enumerate(FIELDS)],

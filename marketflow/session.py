@@ -48,3 +48,8 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below :func:`shared_dir`; nothing exists there yet."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def ship_module(spark: SparkSession, path: str) -> None:
+    """Make a Python file, or a zipped package, importable inside UDFs on every executor."""
+    spark.sparkContext.addPyFile(path)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketflow.operators.cells import wide_to_cells
+from marketflow.session import scratch_path
 
 
 def write_parquet(
@@ -27,6 +28,14 @@ def write_xml(df: DataFrame, path: str, root_tag: str, row_tag: str, mode: str =
     df.write.format("xml").mode(mode).option("rootTag", root_tag).option("rowTag", row_tag).save(path)
 
 
+def fresh_table(spark: SparkSession) -> str:
+    """An unused table name in a new database that lives in the shared folder."""
+    path = scratch_path(spark, "db")
+    db = "mf_" + path.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{path}'")
+    return f"{db}.rows"
+
+
 def write_table(
     df: DataFrame,
     name: str,
@@ -41,10 +50,13 @@ def write_table(
     writer.saveAsTable(name)
 
 
-def spread_by(df: DataFrame, partition_by: Sequence[str], salts: int = 8) -> DataFrame:
-    """Shuffle so that each partition directory gets a few files and a hot one is not one task."""
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
-    return df.repartition(*[F.col(c) for c in partition_by], salt)
+def spread_by(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Shuffle so that each partition directory gets few, even files.
+
+    The rebalance hint lets adaptive execution split a directory that is too large for one task
+    and merge small ones.
+    """
+    return df.hint("rebalance", *partition_by)
 
 
 def overwrite_partitions(df: DataFrame, name: str) -> None:
@@ -52,9 +64,11 @@ def overwrite_partitions(df: DataFrame, name: str) -> None:
     spark = df.sparkSession
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
+    by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    rows = spread_by(df.select(*spark.table(name).columns), by)
     spark.conf.set(key, "dynamic")
     try:
-        df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+        rows.write.insertInto(name, overwrite=True)
     finally:
         spark.conf.set(key, before)
 

@@ -8,7 +8,9 @@ from pyspark.sql import types as T
 
 from marketflow.functions import dates as D
 from marketflow.functions import numbers as N
+from marketflow.functions import row_helpers
 from marketflow.functions import strings as S
+from marketflow.session import ship_module
 from marketflow.streaming.sources import with_ingest_time
 from marketflow.suite.registry import query
 
@@ -274,3 +276,17 @@ def _(t):
 
     t.spark.udf.register("mf_shout", shout)
     return t.spark.sql("SELECT o_orderkey, mf_shout(o_orderpriority) AS p FROM {o}", o=t.orders)
+
+
+@query("ud_04_shipped_module", "SELECT o_orderkey, strftime(o_orderdate, '%m') AS mm FROM orders")
+def _(t):
+    ship_module(t.spark, row_helpers.__file__)
+
+    @F.pandas_udf(T.StringType())
+    def digits(v: pd.Series) -> pd.Series:
+        from row_helpers import month_digits
+
+        return v.map(month_digits)
+
+    text = F.upper(F.date_format("o_orderdate", "dd-MMM-yyyy"))
+    return t.orders.select("o_orderkey", digits(text).alias("mm"))

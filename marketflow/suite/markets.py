@@ -9,6 +9,8 @@ from marketflow.functions.numbers import market_direction, safe_divide
 from marketflow.operators.aggregates import pivot_sum
 from marketflow.operators.collections import upsert
 from marketflow.plans import derivatives as M
+from marketflow.session import scratch_path
+from marketflow.sources.sinks import fresh_table, write_parquet, write_table
 from marketflow.suite.derived import CM, FO, cm_bhav, fo_bhav
 from marketflow.suite.registry import query
 
@@ -178,6 +180,15 @@ def _(t):
     return _final(t, "SYM5").orderBy("tsp")
 
 
+@query("mkt_10_persist_final_pl", f"WITH {PL} SELECT {_FPL} FROM pl WHERE upper(EXPIRY_DT) = TIMESTAMP")
+def _(t):
+    # Parquet files first, then an external table made from them.
+    path, name = scratch_path(t.spark, "pl"), fresh_table(t.spark)
+    write_parquet(_final(t), path, mode="overwrite")
+    write_table(t.spark.read.parquet(path), name, mode="overwrite", path=scratch_path(t.spark, "pl_table"))
+    return t.spark.table(name)
+
+
 def _mv(n):
     return f"avg(CLOSE) OVER (PARTITION BY SYMBOL ORDER BY tsp, TRADE_ID ROWS {n} PRECEDING) AS mv{n}avg"
 

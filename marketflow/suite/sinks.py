@@ -70,7 +70,7 @@ def _dated(t):
 )
 def _(t):
     name = _fresh_table(t)
-    rows = W.spread_by(_dated(t), ["YEAR", "MONTH"], salts=2)
+    rows = W.spread_by(_dated(t), ["YEAR", "MONTH"])
     W.write_table(rows, name, path=scratch_path(t.spark, "by_month"), partition_by=["YEAR", "MONTH"])
     return t.spark.table(name).filter("YEAR = 1997 AND MONTH < 4")
 
@@ -92,7 +92,7 @@ def _(t):
 def _(t):
     path = scratch_path(t.spark, "csv")
     rows = t.orders.select("o_orderkey", "o_totalprice", F.trunc("o_orderdate", "MM").alias("month"), F.to_date("o_orderdate").alias("day"))
-    W.write_csv(W.spread_by(rows, ["month"], salts=2), path, ["month"])
+    W.write_csv(W.spread_by(rows, ["month"]), path, ["month"])
     ddl = "o_orderkey bigint, o_totalprice double, day date, month date"
     back = t.spark.read.schema(ddl).option("header", True).csv(path)
     return back.filter("month >= date '1996-01-01' AND month < date '1997-01-01'").drop("month")

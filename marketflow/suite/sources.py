@@ -157,11 +157,7 @@ def _(t):
 
 
 def _fresh_table(t) -> str:
-    """An unused name in a database that lives in the shared folder."""
-    path = scratch_path(t.spark, "db")
-    db = "mf_" + path.rsplit("-", 1)[1]
-    t.spark.sql(f"CREATE DATABASE {db} LOCATION '{path}'")
-    return f"{db}.rows"
+    return W.fresh_table(t.spark)
 
 
 @query("src_20_list_namespaces_tables", "SELECT 'rows' AS \"tableName\", count(*) AS n FROM orders")
