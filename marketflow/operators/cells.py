@@ -18,6 +18,7 @@ from marketflow.functions.dates import trade_date
 from marketflow.functions.strings import contract_row_key
 from marketflow.operators.aggregates import group_members
 from marketflow.operators.windows import top_per_key
+from marketflow.session import stored
 
 SCHEMA = (
     "row string, family string, qualifier string, ts bigint, seq bigint, value string, is_delete boolean"
@@ -174,13 +175,14 @@ def scan(cells: DataFrame, spec: ScanSpec | None = None, **options) -> DataFrame
 def as_row_maps(cells: DataFrame, part_cells: int = 10_000) -> DataFrame:
     """Each row as a map ``family:qualifier -> (value, ts)``.
 
-    A row wider than ``part_cells`` has several maps, numbered by ``part``.
+    A row wider than ``part_cells`` has several maps, numbered by ``part``.  The resolved cells are
+    stored first, because finding wide rows reads them more than once.
     """
     entry = F.struct(
         F.concat_ws(":", "family", "qualifier").alias("key"),
         F.struct("value", "ts").alias("value"),
     )
-    packed = group_members(latest(cells), ["row"], entry, ["family", "qualifier"], part_cells)
+    packed = group_members(stored(latest(cells)), ["row"], entry, ["family", "qualifier"], part_cells)
     return packed.select("row", "part", F.map_from_entries("members").alias("cells"))
 
 

@@ -33,14 +33,38 @@ def parse_json(df: DataFrame, col: str, schema: T.StructType | str, name: str =
     return df.withColumn(name, F.from_json(col, schema))
 
 
+def _plain(kind: T.DataType) -> T.DataType:
+    """Inferred type as a JSON reader would give it: fractions are doubles, mixed values text."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _plain(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_plain(kind.elementType))
+    if isinstance(kind, (T.VariantType, T.NullType)):
+        return T.StringType()
+    if isinstance(kind, T.DecimalType) and (kind.scale > 0 or kind.precision <= 18):
+        return T.DoubleType()
+    return kind
+
+
+def infer_json_schema(df: DataFrame, col: str) -> T.StructType:
+    """Merged schema of a column of JSON texts, as one aggregate that combines map-side.
+
+    Malformed texts are left out of the inference.
+    """
+    found = df.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(col))).alias("s")).first().s
+    # Names may be quoted; OBJECT is the variant word for a struct.
+    outside = found.split("`")
+    outside[::2] = [part.replace("OBJECT<", "STRUCT<") for part in outside[::2]]
+    return _plain(T.DataType.fromDDL("`".join(outside)))
+
+
 def json_strings_to_df(df: DataFrame, col: str, schema: T.StructType | str | None = None) -> DataFrame:
     """A column of JSON texts as a table.
 
     Without a schema the texts are read twice: a pass that infers it and the parse itself.
     """
     if schema is None:
-        lines = df.select(F.col(col).alias("value"))
-        schema = df.sparkSession.read.json(lines.rdd.map(lambda r: r.value)).schema
+        schema = infer_json_schema(df, col)
     return df.select(F.from_json(col, schema).alias("_row")).select("_row.*")
 
 

@@ -78,32 +78,32 @@ def find_hot_keys(
     """Keys holding more than one ``ranges``-th of the rows, or None when there are none.
 
     ``ranges`` defaults to the session's shuffle partition count: a key is hot when it is larger
-    than an average reduce task.  The sample is ``ROWS_PER_CUT`` narrow rows per range, so what
-    reaches the driver depends on the partition count and not on the data.  With no ``keys`` the
-    whole table is one group.
+    than an average reduce task.  Two narrow jobs run: a row count, and a row-wise sample of about
+    ``ROWS_PER_CUT`` rows per range, so what reaches the driver depends on the partition count and
+    not on the data.  With no ``keys`` the whole table is one group.
     """
     spark = df.sparkSession
     if ranges is None:
         ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(2, min(ranges, MAX_RANGES))
+    total = df.count()
+    if total == 0:
+        return None
     named = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]
     ordered = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)]).alias("_at")
-    draw = (
-        df.select(*named, ordered)
-        .orderBy(F.rand(11))
-        .limit(ranges * ROWS_PER_CUT)
-        .orderBy(*[f"k{i}" for i in range(len(keys))], "_at")
-    )
-    rows = draw.collect()
+    fraction = min(1.0, ranges * ROWS_PER_CUT / total)
+    draw = df.select(*named, ordered).sample(fraction, seed=11)
+    rows = draw.orderBy(*[f"k{i}" for i in range(len(keys))], "_at").collect()
+    per_cut = max(2, min(ROWS_PER_CUT, len(rows) // ranges))
     # A key is hot above 1.5 average ranges; fewer sampled rows would be noise.
-    floor = int(1.5 * ROWS_PER_CUT)
+    floor = int(1.5 * per_cut)
     hot, longest, heavy_ties = [], 0, False
     for key, members in groupby(rows, key=lambda r: tuple(r[:-1])):
         at = [m[-1] for m in members]
         if len(at) <= floor and keys:
             continue
         cuts = []
-        for cut in at[ROWS_PER_CUT::ROWS_PER_CUT]:
+        for cut in at[per_cut::per_cut]:
             if cuts and cut == cuts[-1]:
                 heavy_ties = True
             else:

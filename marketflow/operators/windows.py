@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marketflow.operators.skew import HotKeys, find_hot_keys
+from marketflow.operators.skew import find_hot_keys
 
 BLOCK_ROWS = 65_536
 
@@ -47,16 +47,32 @@ def _with_carried(hot_rows: DataFrame, carried: DataFrame, keys: list[str]) -> D
     )
 
 
-def _number_hot(hot_rows: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
-    carried = _carried(hot_rows, keys, {"n": F.count(F.lit(1))})
-    within = F.row_number().over(W.partitionBy(*keys, "_range").orderBy(*order)).cast("long")
+def order_ranges(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], ranges: int | None = None
+) -> DataFrame:
+    """Add ``_range`` and ``_before``: how many rows of the key lie in earlier ranges.
+
+    A numbering of the key is then ``row_number()`` per (keys, _range) plus ``_before``.  Keys that
+    are not hot are one range with nothing before it.
+    """
+    keys, order = list(keys), list(order)
+    nothing = F.lit(0).cast("long")
+    hot = find_hot_keys(df, keys, order, ranges)
+    if hot is None:
+        return df.withColumns({"_range": F.lit(0), "_before": nothing})
+    carried = _carried(hot.hot(df), keys, {"n": F.count(F.lit(1))})
     return (
-        _with_carried(hot_rows.withColumn(name, within), carried, keys)
-        .withColumn(name, F.col(name) + F.coalesce(F.col("_c_n"), F.lit(0)))
+        _with_carried(hot.tag(df), carried, keys)
+        .withColumn("_before", F.coalesce(F.col("_c_n"), nothing))
         .drop("_c_n")
     )
 
 
+def _numbered(ranged: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    within = F.row_number().over(W.partitionBy(*keys, "_range").orderBy(*order))
+    return ranged.withColumn(name, within + F.col("_before")).drop("_range", "_before")
+
+
 def row_numbers(
     df: DataFrame,
     keys: Sequence[str],
@@ -69,12 +85,7 @@ def row_numbers(
     A global numbering never runs in one task: the whole table counts as a hot key.
     """
     keys, order = list(keys), list(order)
-    hot = find_hot_keys(df, keys, order, ranges)
-    if hot is None:
-        window = W.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(window).cast("long"))
-    # Cold rows have a null range, which is simply one more group of their key.
-    return _number_hot(hot.tag(df), keys, order, name).drop("_range")
+    return _numbered(order_ranges(df, keys, order, ranges), keys, order, name)
 
 
 def running_sum(
@@ -133,39 +144,64 @@ def _plus(total: Column, earlier: Column) -> Column:
     return F.when(total.isNull(), earlier).when(earlier.isNull(), total).otherwise(total + earlier)
 
 
-def rows_back(
+def overlapping_blocks(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     depth: int,
-    columns: Callable[[W], dict[str, Column]],
+    number: str | None = None,
     ranges: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Window columns that look at most ``depth`` rows back (ROWS frames and lags).
+    """Add ``_block`` and ``_copy`` so that windows may run per (keys, _block).
 
-    ``columns`` receives the ordered window and returns the columns to add.  Hot keys are numbered
-    and cut into blocks of ``block_rows`` rows; the last ``depth`` rows of a block are copied in
-    front of the next one, so every frame is complete, and the copies are removed afterwards.
+    Hot keys are numbered and cut into blocks of ``block_rows`` rows; the last ``depth`` rows of a
+    block are repeated in front of the next one, marked as copies.  A frame that looks at most
+    ``depth`` rows back is then complete in every block.  Drop the copies after the window.
+    ``number`` names a column for the row number within the key.
     """
     keys, order = list(keys), list(order)
+    whole = {"_block": F.lit(0).cast("long"), "_copy": F.lit(False)}
+    numbering = F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long")
     hot = find_hot_keys(df, keys, order, ranges)
     if hot is None:
-        return df.withColumns(columns(W.partitionBy(*keys).orderBy(*order)))
-    cold = hot.cold(df)
-    if cold is not None:
-        cold = cold.withColumns(columns(W.partitionBy(*keys).orderBy(*order)))
+        return (df if number is None else df.withColumn(number, numbering)).withColumns(whole)
+    rno = number or "_rno"
+    hot_rows = hot.hot(df)
+    carried = _carried(hot_rows, keys, {"before": F.count(F.lit(1))})
+    ranged = _with_carried(hot_rows, carried, keys).withColumn(
+        "_before", F.coalesce("_c_before", F.lit(0).cast("long"))
+    )
     size = max(block_rows, depth)
-    numbered = _number_hot(hot.hot(df), keys, order, "_rno").drop("_range")
-    block = F.floor((F.col("_rno") - 1) / size)
-    to_next = ((F.col("_rno") - 1) % size) >= size - depth
-    copies = numbered.withColumn(
-        "_block", F.explode(F.when(to_next, F.array(block, block + 1)).otherwise(F.array(block)))
+    at = F.col(rno) - 1
+    block = F.floor(at / size)
+    both = F.when(at % size >= size - depth, F.array(block, block + 1)).otherwise(F.array(block))
+    copied = (
+        _numbered(ranged, keys, order, rno)
+        .withColumn("_block", F.explode(both))
+        .withColumn("_copy", F.col("_block") > block)
     )
-    windowed = copies.withColumns(columns(W.partitionBy(*keys, "_block").orderBy("_rno")))
-    own = F.col("_block") == F.floor((F.col("_rno") - 1) / size)
-    added = [c for c in windowed.columns if c not in copies.columns]
-    return _rejoin(cold, windowed.filter(own), [*df.columns, *added])
+    cold = hot.cold(df)
+    if cold is not None:
+        cold = (cold if number is None else cold.withColumn(number, numbering)).withColumns(whole)
+    return _rejoin(cold, copied, [*df.columns, *([number] if number else []), *whole])
+
+
+def rows_back(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    depth: int,
+    columns: Callable[[W], dict[str, Column]],
+    **tuning,
+) -> DataFrame:
+    """Window columns that look at most ``depth`` rows back (ROWS frames and lags).
+
+    ``columns`` receives the ordered window and returns the columns to add.
+    """
+    blocks = overlapping_blocks(df, keys, order, depth, **tuning)
+    spec = W.partitionBy(*keys, "_block").orderBy(*order)
+    return blocks.withColumns(columns(spec)).filter(~F.col("_copy")).drop("_block", "_copy")
 
 
 def moving_avg(

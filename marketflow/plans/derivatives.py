@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marketflow.functions.dates import trade_date
 from marketflow.functions.numbers import lot_size, safe_divide
 from marketflow.operators.aggregates import pivot_sum, price_band
-from marketflow.operators.windows import lagged, moving_avg, row_numbers, running_sum
+from marketflow.operators.windows import lagged, moving_avg, running_sum
 
 # Futures carry XX, puts PE, calls CE.
 OPTION_TYPES = ["XX", "PE", "CE"]
@@ -140,7 +140,7 @@ def moving_averages(df: DataFrame, order: list[str], windows=(5, 20, 50, 200), *
 
 def sequence_prices(df: DataFrame, order: list[str], steps=(5, 10, 15, 20), **tuning) -> DataFrame:
     """Row number per symbol and the CLOSE 5, 10, 15 and 20 rows earlier."""
-    return lagged(row_numbers(df, ["SYMBOL"], order), ["SYMBOL"], order, "CLOSE", steps, **tuning)
+    return lagged(df, ["SYMBOL"], order, "CLOSE", steps, number="rno", **tuning)
 
 
 def lot_sizes(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "marketflow", master: str | None = None, **conf) -> SparkSession:
@@ -53,3 +53,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def ship_module(spark: SparkSession, path: str) -> None:
     """Make a Python file, or a zipped package, importable inside UDFs on every executor."""
     spark.sparkContext.addPyFile(path)
+
+
+def stored(df: DataFrame, name: str = "stage") -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    For costly results that several jobs need: the lineage ends at files that outlive executors.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,9 +14,12 @@ from marketflow.session import scratch_path
 def write_parquet(
     df: DataFrame, path: str, mode: str = "error", partition_by: Sequence[str] = (), one_file: bool = False
 ) -> None:
-    """Parquet files.  ``one_file`` sends every row through one task: small results only."""
+    """Parquet files.  ``one_file`` writes through one task: for small results only.
+
+    It repartitions rather than coalesces, so the work before the write stays spread out.
+    """
     if one_file:
-        df = df.coalesce(1)
+        df = df.repartition(1)
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 

@@ -167,7 +167,7 @@ def _(t):
     db = name.split(".")[0]
     found = list_namespaces(t.spark).filter(F.col("namespace") == db)
     tables = list_tables(t.spark, db).join(found, "namespace").select("tableName")
-    return tables.join(t.spark.table(name).agg(F.count(F.lit(1)).alias("n")), F.lit(True))
+    return tables.withColumn("n", t.spark.table(name).agg(F.count(F.lit(1)).alias("n")).scalar())
 
 
 @query("src_21_table_over_directory", "SELECT o_orderkey, o_totalprice FROM orders")

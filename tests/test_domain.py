@@ -215,3 +215,11 @@ def test_json_keeps_nulls_out_and_parses_back(spark):
     packed = X.encode_struct(df.select(F.struct("a", "b").alias("s")), "s")
     assert packed.schema["payload"].dataType.simpleString() == "binary"
     assert rows(X.decode_struct(packed, "payload", "a int, b string").select("record.*")) == [(1, None), (2, "b")]
+
+
+def test_json_inference(spark):
+    texts = ['{"a":1,"b c":{"x":1.5},"t":[1,2],"n":null,"m":"s"}', '{"a":2.5,"t":["x"],"m":3,"k":true}', "bad{"]
+    df = spark.createDataFrame([(x,) for x in texts], "v string")
+    got = X.infer_json_schema(df, "v").simpleString()
+    assert got == "struct<a:double,b c:struct<x:double>,k:boolean,m:string,n:string,t:array<string>>"
+    assert [r.a for r in X.json_strings_to_df(df, "v").filter("a is not null").orderBy("a").collect()] == [1.0, 2.5]
