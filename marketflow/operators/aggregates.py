@@ -61,20 +61,20 @@ def histogram(df: DataFrame, col: str, n: int) -> DataFrame:
     When all values are equal there is one bucket.  Empty buckets are listed with count 0.
     """
     value = F.col(col).cast("double")
-    edges = df.agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    lo, hi = edges.select("_lo").scalar(), edges.select("_hi").scalar()
+    # One subquery gives both edges; Spark runs it once for every place it is used in.
+    edges = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi")).alias("_e")).scalar()
+    valued = df.filter(value.isNotNull()).select(value.alias("_v"), edges.alias("_e"))
+    lo, hi = F.col("_e.lo"), F.col("_e.hi")
     width = (hi - lo) / n
-    at = F.when(hi == lo, F.lit(0)).otherwise(
-        F.least(F.floor(F.try_divide(value - lo, width)), F.lit(n - 1))
+    at = F.when(hi == lo, 0).otherwise(F.least(F.floor(F.try_divide(F.col("_v") - lo, width)), F.lit(n - 1)))
+    counted = valued.groupBy(at.cast("int").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    last = F.when(hi == lo, 0).otherwise(n - 1)
+    frame = (
+        df.sparkSession.range(1)
+        .select(edges.alias("_e"))
+        .filter(lo.isNotNull())
+        .select(lo.alias("_lo"), width.alias("_w"), F.explode(F.sequence(F.lit(0), last)).alias("bucket"))
     )
-    counted = df.filter(value.isNotNull()).groupBy(at.cast("int").alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    buckets = F.when(F.col("_hi") == F.col("_lo"), F.sequence(F.lit(0), F.lit(0))).otherwise(
-        F.sequence(F.lit(0), F.lit(n - 1))
-    )
-    step = (F.col("_hi") - F.col("_lo")) / n
-    frame = edges.filter("_lo is not null").select("_lo", step.alias("_w"), F.explode(buckets).alias("bucket"))
     return frame.join(counted, "bucket", "left").select(
         "bucket",
         (F.col("_lo") + F.col("bucket") * F.col("_w")).alias("low"),

@@ -158,7 +158,8 @@ def while_(condition: Column, scope: str = "scan") -> Step:
 
     def whole(cells: DataFrame) -> DataFrame:
         first = cells.filter(fails).agg(F.min(at).alias("at")).select("at").scalar()
-        return cells.filter(first.isNull() | (at < first))
+        # Without a failing cell the comparison is null and everything stays.
+        return cells.filter(F.coalesce(at < first, F.lit(True)))
 
     def per_row(cells: DataFrame) -> DataFrame:
         first = cells.filter(fails).groupBy("row").agg(F.min(F.struct(*IN_ROW)).alias("_stop"))

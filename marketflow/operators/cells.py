@@ -34,20 +34,21 @@ def _tombstones(cells: DataFrame) -> DataFrame:
     return cells.filter("is_delete").groupBy(*COLUMN).agg(F.max("ts").alias("dead_ts"))
 
 
-def _hide_deleted(puts: DataFrame, cells: DataFrame) -> DataFrame:
-    """Puts not covered by a column, family or row delete of ``cells``.
+def _hide_deleted(puts: DataFrame, cells: DataFrame, scopes: Sequence[str]) -> DataFrame:
+    """Puts not covered by a delete of the given scopes ("column", "family", "row").
 
-    The three scopes are three anti joins on equality keys, so adaptive execution can broadcast
-    a short delete list or split a hot row; there is no "or" across scopes.
+    Each scope is its own anti join on equality keys, so adaptive execution can broadcast a short
+    delete list or split a hot row; there is no "or" across scopes.
     """
     dead = _tombstones(cells)
-    scopes = [
-        (dead.filter("qualifier is not null"), COLUMN),
-        (dead.filter("family is not null and qualifier is null"), ["row", "family"]),
-        (dead.filter("family is null"), ["row"]),
-    ]
-    for scope, on in scopes:
-        right = scope.select(*[F.col(c).alias(f"d_{c}") for c in on], "dead_ts")
+    kinds = {
+        "column": (dead.filter("qualifier is not null"), COLUMN),
+        "family": (dead.filter("family is not null and qualifier is null"), ["row", "family"]),
+        "row": (dead.filter("family is null"), ["row"]),
+    }
+    for scope in scopes:
+        marks, on = kinds[scope]
+        right = marks.select(*[F.col(c).alias(f"d_{c}") for c in on], "dead_ts")
         match = F.col("ts") <= F.col("dead_ts")
         for c in on:
             match = match & (F.col(c) == F.col(f"d_{c}"))
@@ -63,18 +64,22 @@ def latest(cells: DataFrame) -> DataFrame:
     """Newest visible value of every column: row, family, qualifier, ts, value.
 
     The newest put is picked first (``max_by`` combines map-side, so a column with a billion
-    versions is one row per task); if a delete covers it, it covers all older ones too.
+    versions is one row per task); if a delete covers it, it covers all older ones too.  Deletes of
+    the column itself share its key and are compared in the same aggregate.
     """
-    newest = _puts(cells).groupBy(*COLUMN).agg(
-        F.max_by(F.struct("ts", "value"), F.struct("ts", "seq")).alias("_c")
+    is_put = ~F.col("is_delete")
+    newest = cells.groupBy(*COLUMN).agg(
+        F.max_by(F.when(is_put, F.struct("ts", "value")), F.when(is_put, F.struct("ts", "seq"))).alias("_c"),
+        F.max(F.when(F.col("is_delete"), F.col("ts"))).alias("_dead"),
     )
-    return _hide_deleted(newest.select(*COLUMN, "_c.ts", "_c.value"), cells)
+    alive = newest.filter(F.col("_c").isNotNull() & (F.col("_dead").isNull() | (F.col("_c.ts") > F.col("_dead"))))
+    return _hide_deleted(alive.select(*COLUMN, "_c.ts", "_c.value"), cells, ["family", "row"])
 
 
 def all_versions(cells: DataFrame) -> DataFrame:
     """Every visible version; several puts at one timestamp are one version, the last in the batch."""
     per_ts = _puts(cells).groupBy(*COLUMN, "ts").agg(F.max_by("value", "seq").alias("value"))
-    return _hide_deleted(per_ts, cells)
+    return _hide_deleted(per_ts, cells, ["column", "family", "row"])
 
 
 def as_of(cells: DataFrame, ts: int) -> DataFrame:
