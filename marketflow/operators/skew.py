@@ -16,7 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_CUT = 24
+# A hot key is cut into ranges of about a quarter of an average task, so that hashing the ranges
+# to tasks comes out even.
+RANGES_PER_TASK = 4
+ROWS_PER_CUT = 12
 MAX_RANGES = 8192
 
 
@@ -26,7 +29,7 @@ class HotKeys:
 
     A row's range is a function of its own key and order values, so a task that is run again gives
     the same answer, and rows that tie on the order share a range.  ``heavy_ties`` tells that one
-    order value alone fills whole ranges.
+    order value alone fills a task.
     """
 
     keys: list[str]
@@ -73,19 +76,19 @@ class HotKeys:
 
 
 def find_hot_keys(
-    df: DataFrame, keys: list[str], order: list[str], ranges: int | None = None
+    df: DataFrame, keys: list[str], order: list[str], tasks: int | None = None
 ) -> HotKeys | None:
-    """Keys holding more than one ``ranges``-th of the rows, or None when there are none.
+    """Keys larger than one and a half average tasks, or None when there are none.
 
-    ``ranges`` defaults to the session's shuffle partition count: a key is hot when it is larger
-    than an average reduce task.  Two narrow jobs run: a row count, and a row-wise sample of about
-    ``ROWS_PER_CUT`` rows per range, so what reaches the driver depends on the partition count and
-    not on the data.  With no ``keys`` the whole table is one group.
+    ``tasks`` defaults to the session's shuffle partition count.  Two narrow jobs run: a row count,
+    and a row-wise sample of about ``ROWS_PER_CUT`` rows per range, so what reaches the driver
+    depends on the partition count and not on the data.  With no ``keys`` the whole table is one
+    group.
     """
     spark = df.sparkSession
-    if ranges is None:
-        ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(2, min(ranges, MAX_RANGES))
+    if tasks is None:
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(2, min(tasks * RANGES_PER_TASK, MAX_RANGES))
     total = df.count()
     if total == 0:
         return None
@@ -95,19 +98,20 @@ def find_hot_keys(
     draw = df.select(*named, ordered).sample(fraction, seed=11)
     rows = draw.orderBy(*[f"k{i}" for i in range(len(keys))], "_at").collect()
     per_cut = max(2, min(ROWS_PER_CUT, len(rows) // ranges))
-    # A key is hot above 1.5 average ranges; fewer sampled rows would be noise.
-    floor = int(1.5 * per_cut)
+    floor = int(1.5 * RANGES_PER_TASK * per_cut)
     hot, longest, heavy_ties = [], 0, False
     for key, members in groupby(rows, key=lambda r: tuple(r[:-1])):
         at = [m[-1] for m in members]
         if len(at) <= floor and keys:
             continue
-        cuts = []
+        cuts, repeats = [], 0
         for cut in at[per_cut::per_cut]:
             if cuts and cut == cuts[-1]:
-                heavy_ties = True
+                repeats += 1
+                heavy_ties = heavy_ties or repeats >= RANGES_PER_TASK
             else:
                 cuts.append(cut)
+                repeats = 0
         if cuts:
             hot.append((*key, cuts))
             longest = max(longest, len(cuts))

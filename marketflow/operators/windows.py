@@ -48,7 +48,7 @@ def _with_carried(hot_rows: DataFrame, carried: DataFrame, keys: list[str]) -> D
 
 
 def order_ranges(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], ranges: int | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], tasks: int | None = None
 ) -> DataFrame:
     """Add ``_range`` and ``_before``: how many rows of the key lie in earlier ranges.
 
@@ -57,7 +57,7 @@ def order_ranges(
     """
     keys, order = list(keys), list(order)
     nothing = F.lit(0).cast("long")
-    hot = find_hot_keys(df, keys, order, ranges)
+    hot = find_hot_keys(df, keys, order, tasks)
     if hot is None:
         return df.withColumns({"_range": F.lit(0), "_before": nothing})
     carried = _carried(hot.hot(df), keys, {"n": F.count(F.lit(1))})
@@ -78,14 +78,14 @@ def row_numbers(
     keys: Sequence[str],
     order: Sequence[str],
     name: str = "rno",
-    ranges: int | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """``row_number()`` per key as a bigint column; with no keys, one global numbering.
 
     A global numbering never runs in one task: the whole table counts as a hot key.
     """
     keys, order = list(keys), list(order)
-    return _numbered(order_ranges(df, keys, order, ranges), keys, order, name)
+    return _numbered(order_ranges(df, keys, order, tasks), keys, order, name)
 
 
 def running_sum(
@@ -94,7 +94,7 @@ def running_sum(
     order: Sequence[str],
     sums: dict[str, Column],
     frame: str = "range",
-    ranges: int | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Running totals per key, one output column per entry of ``sums``.
 
@@ -104,7 +104,7 @@ def running_sum(
     never straddle a range, so both frames stay exact.
     """
     keys, order = list(keys), list(order)
-    hot = find_hot_keys(df, keys, order, ranges)
+    hot = find_hot_keys(df, keys, order, tasks)
 
     def over(part: list[str]):
         spec = W.partitionBy(*part).orderBy(*order)
@@ -150,7 +150,7 @@ def overlapping_blocks(
     order: Sequence[str],
     depth: int,
     number: str | None = None,
-    ranges: int | None = None,
+    tasks: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add ``_block`` and ``_copy`` so that windows may run per (keys, _block).
@@ -163,7 +163,7 @@ def overlapping_blocks(
     keys, order = list(keys), list(order)
     whole = {"_block": F.lit(0).cast("long"), "_copy": F.lit(False)}
     numbering = F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long")
-    hot = find_hot_keys(df, keys, order, ranges)
+    hot = find_hot_keys(df, keys, order, tasks)
     if hot is None:
         return (df if number is None else df.withColumn(number, numbering)).withColumns(whole)
     rno = number or "_rno"

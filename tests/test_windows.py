@@ -46,9 +46,9 @@ def test_ranges_follow_the_order(skewed):
     assert all(a[1] < b[0] for a, b in zip(found, found[1:]))
 
 
-@pytest.mark.parametrize("ranges", [2, 8, 64])
-def test_row_numbers(skewed, ranges):
-    got = row_numbers(skewed, ["k"], ["day", "id"], ranges=ranges)
+@pytest.mark.parametrize("tasks", [2, 8, 64])
+def test_row_numbers(skewed, tasks):
+    got = row_numbers(skewed, ["k"], ["day", "id"], tasks=tasks)
     want = skewed.withColumn("rno", F.row_number().over(W.partitionBy("k").orderBy("day", "id")).cast("long"))
     same(got, want)
 
@@ -61,14 +61,14 @@ def test_global_row_numbers_use_many_tasks(skewed):
     assert windows and all("_range" in line for line in windows)
 
 
-@pytest.mark.parametrize("ranges", [2, 8, 64])
+@pytest.mark.parametrize("tasks", [2, 8, 64])
 @pytest.mark.parametrize("frame", ["range", "rows"])
-def test_running_sum(skewed, ranges, frame):
+def test_running_sum(skewed, tasks, frame):
     order = ["day"] if frame == "range" else ["day", "id"]
     spec = W.partitionBy("k").orderBy(*order)
     if frame == "rows":
         spec = spec.rowsBetween(W.unboundedPreceding, 0)
-    got = running_sum(skewed, ["k"], order, {"s": F.col("v"), "p": F.col("v") * 2}, frame, ranges)
+    got = running_sum(skewed, ["k"], order, {"s": F.col("v"), "p": F.col("v") * 2}, frame, tasks)
     want = skewed.withColumns({"s": F.sum("v").over(spec), "p": F.sum(F.col("v") * 2).over(spec)})
     same(got, want)
 
@@ -79,13 +79,13 @@ def test_running_sum_when_one_day_is_most_of_a_key(spark):
         (F.col("id") % 13).alias("v"),
     )
     assert find_hot_keys(df, ["k"], ["day"], 16).heavy_ties
-    got = running_sum(df, ["k"], ["day"], {"s": F.col("v")}, ranges=16)
+    got = running_sum(df, ["k"], ["day"], {"s": F.col("v")}, tasks=16)
     same(got, df.withColumn("s", F.sum("v").over(W.partitionBy("k").orderBy("day"))))
 
 
 def test_running_sum_of_only_nulls_stays_null(spark):
     df = spark.range(500).select("id", F.lit(1).alias("k"), F.lit(None).cast("long").alias("v"))
-    got = running_sum(df, ["k"], ["id"], {"s": F.col("v")}, ranges=8)
+    got = running_sum(df, ["k"], ["id"], {"s": F.col("v")}, tasks=8)
     assert got.filter("s is not null").count() == 0
 
 
@@ -101,7 +101,7 @@ def test_moving_avg_and_lag_across_blocks(skewed, block_rows):
 
 def test_five_preceding_rows_are_six_rows(spark):
     df = spark.range(10).select(F.lit("A").alias("s"), "id", F.col("id").cast("double").alias("c"))
-    got = moving_avg(df, ["s"], ["id"], "c", {"m": 5}, ranges=2)
+    got = moving_avg(df, ["s"], ["id"], "c", {"m": 5}, tasks=2)
     assert got.filter("id = 9").first().m == sum(range(4, 10)) / 6
 
 
