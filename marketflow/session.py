@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -40,11 +41,15 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="marketflow-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        named = _local_dir()
     return named.rstrip("/")
 
 
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="marketflow-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below :func:`shared_dir`; nothing exists there yet."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
