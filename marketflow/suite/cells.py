@@ -373,7 +373,7 @@ FILTERS = {
     ),
     "cf_20_while_scan": (
         lambda: CF.while_(CF.matches("row", "!=", "substring:0090")),
-        f"{LATEST} WHERE \"row\" < (SELECT min(\"row\") FROM latest WHERE \"row\" LIKE '%0090%')",
+        f"{LATEST} WHERE coalesce(\"row\" < (SELECT min(\"row\") FROM latest WHERE \"row\" LIKE '%0090%'), true)",
     ),
     "cf_20_while_row": (
         lambda: CF.while_(CF.matches("value", "!=", "regexstring:^5"), scope="row"),

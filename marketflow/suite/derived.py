@@ -126,7 +126,14 @@ log AS (SELECT event_id, 'h' || user_id AS host, date_trunc('second', ts) AS dat
     CASE event_type WHEN 'click' THEN 304 WHEN 'signup' THEN 302 WHEN 'error' THEN 500 ELSE 200 END
       ::INTEGER AS response_code,
     CASE WHEN event_type = 'click' THEN 0 ELSE round(value * 100)::INTEGER END::INTEGER AS content_size,
-    event_type = 'click' AS size_missing, value >= 3 AS ok, value
+    event_type = 'click' AS size_missing, value >= 3 AS ok, value,
+    CASE WHEN value < 1 THEN 'broken line ' || event_id
+      ELSE 'h' || user_id || ' - - [' ||
+        CASE WHEN value < 2 THEN '01/Foo/2024:00:00:00' ELSE strftime(ts, '%d/%b/%Y:%H:%M:%S') END ||
+        ' -0400] "' || CASE WHEN event_type IN ('signup', 'purchase') THEN 'POST' ELSE 'GET' END || ' /' || event_type ||
+        ' HTTP/1.0" ' || CASE event_type WHEN 'click' THEN '304' WHEN 'signup' THEN '302' WHEN 'error' THEN '500' ELSE '200' END ||
+        ' ' || CASE WHEN value >= 2 AND value < 3 THEN 'big' WHEN event_type = 'click' THEN '-'
+          ELSE round(value * 100)::INTEGER::VARCHAR END END AS line
   FROM events)
 """
 

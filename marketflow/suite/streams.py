@@ -142,16 +142,16 @@ def _(t):
 
 @query(
     "st_08_quote_totals",
-    f"WITH {QUOTES} SELECT symbol, sum(qty)::BIGINT AS totqty, round(avg(qty), 4) AS avgqty, round(sum(vlu), 2) AS totvlu, "
-    "round(avg(vlu), 4) AS avgvlu FROM q GROUP BY 1",
+    f"WITH {QUOTES} SELECT symbol, sum(qty)::BIGINT AS totqty, avg(qty) AS avgqty, round(sum(vlu), 2) AS totvlu, "
+    "round(avg(vlu), 8) AS avgvlu FROM q GROUP BY 1",
 )
 def _(t):
     totals = K.run_update(Q.quote_totals(_quotes(t)), ["symbol"])
-    return totals.withColumns({c: F.round(c, n) for c, n in (("avgqty", 4), ("totvlu", 2), ("avgvlu", 4))})
+    return totals.withColumns({c: F.round(c, n) for c, n in (("totvlu", 2), ("avgvlu", 8))})
 
 
 _Q_WINDOWS = (
-    "SELECT symbol, w_start, w_end, round(avg(qty), 4) AS avgqty, round(avg(vlu), 4) AS avgval, sum(qty)::BIGINT AS totqty, "
+    "SELECT symbol, w_start, w_end, avg(qty) AS avgqty, round(avg(vlu), 8) AS avgval, sum(qty)::BIGINT AS totqty, "
     "round(sum(vlu), 2) AS sumval, min(clspr) AS mincls, max(clspr) AS maxcls FROM k"
 )
 
@@ -163,7 +163,7 @@ _Q_WINDOWS = (
 )
 def _(t):
     out, _ = K.run_append(Q.quote_windows(_quotes(t), "1 day", "12 hours"))
-    return _flat(out).withColumns({c: F.round(c, n) for c, n in (("avgqty", 4), ("avgval", 4), ("sumval", 2))})
+    return _flat(out).withColumns({c: F.round(c, n) for c, n in (("avgval", 8), ("sumval", 2))})
 
 
 @query(
