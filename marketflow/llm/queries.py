@@ -56,3 +56,10 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     from marketflow.llm import secrets as S
 
     return S.secret_report(table(spark, folder, "documents"))
+
+
+@query("op10_simhash")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    from marketflow.llm import simhash as S
+
+    return S.near_duplicates(table(spark, folder, "documents"))
