@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marketflow.llm import decontaminate
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -63,3 +65,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     from marketflow.llm import simhash as S
 
     return S.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op6_decontamination", decontaminate.ORACLE)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
