@@ -18,6 +18,7 @@ import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
@@ -164,25 +165,55 @@ class WordEncoder:
     """Ids of texts, through a bounded memory of the ids of words.
 
     It holds for tokenizers whose pre-tokenizer drops white space and never joins across it, as the
-    word-end BPE file does: then the ids of a text are those of its words, one after the other.
+    word-end BPE file does: then the ids of a text are those of its words, one after the other.  That
+    file also sets a closing mark apart from an ASCII letter before it and reads capitals as small
+    letters, so words are looked up without both; ``lower_case=False`` is for files that do not.
     """
 
-    def __init__(self, path: str, id_bytes: int, most: int = 400_000):
-        self.tokenizer, self.kind, self.most = _tokenizer(path), f"<u{id_bytes}", most
+    def __init__(self, path: str, id_bytes: int, most: int = 500_000, lower_case: bool = True):
+        self.tokenizer, self.code, self.most = _tokenizer(path), {2: "H", 4: "I"}[id_bytes], most
+        self.lower_case = lower_case
         self.known: dict[bytes, bytes] = {}
+        self.plain: dict[bytes, bytes] = {}
+
+    def _plain(self, word: bytes) -> tuple[bytes, bytes]:
+        mark = b""
+        if word[-1:] in (b".", b",") and word[-2:-1].isalpha():
+            word, mark = word[:-1], word[-1:]
+        # a special token must be written as it stands, and a capital before a combining mark is no ASCII word
+        return (word.lower() if b"<" not in word and word.isascii() else word), mark
+
+    def _learn(self, new: list[bytes]) -> None:
+        forms = [self._plain(w) for w in new] if self.lower_case else [(w, b"") for w in new]
+        needed = {part for form in forms for part in form} - self.plain.keys() - {b""}
+        if len(self.plain) + len(needed) > self.most:
+            self.plain = {}
+            needed = {part for form in forms for part in form} - {b""}
+        needed = list(needed)
+        coded = self.tokenizer.encode_batch_fast([w.decode() for w in needed], add_special_tokens=False)
+        plain, code = self.plain, self.code
+        plain.update((w, array(code, e.ids).tobytes()) for w, e in zip(needed, coded))
+        self.known.update(
+            (w, plain[stem] + plain[mark] if mark else plain[stem]) for w, (stem, mark) in zip(new, forms)
+        )
 
     def encode(self, texts: Sequence[bytes]) -> list[bytes]:
+        """Little-endian ids of each text."""
         split = [t.split() for t in texts]
         found = set().union(*split) if split else set()
         if len(self.known) + len(found) > self.most:
             self.known = {w: self.known[w] for w in found & self.known.keys()}
-        new = list(found - self.known.keys())
-        coded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, self.kind).tobytes()) for w, e in zip(new, coded))
+        self._learn(list(found - self.known.keys()))
         get = self.known.__getitem__
         return [b"".join(map(get, ws)) for ws in split]
 
 
+@lru_cache(maxsize=2)
+def word_encoder(path: str, id_bytes: int) -> WordEncoder:
+    """One for each Python worker, kept between tasks."""
+    return WordEncoder(path, id_bytes)
+
+
 def write_token_files(
     docs: DataFrame,
     tokenizer_path: str,
@@ -203,8 +234,8 @@ def write_token_files(
     id_bytes = 2 if vocabulary <= 1 << 16 else 4
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordEncoder(tokenizer_path, id_bytes)
-        end = np.array([end_id], coder.kind).tobytes()
+        coder = word_encoder(tokenizer_path, id_bytes)
+        end = np.array([end_id], f"<u{id_bytes}").tobytes()
         store, _ = pafs.FileSystem.from_uri(folder)
         sink = out = None
         name = f"{base}/ids-{uuid.uuid4().hex}.zst"
