@@ -70,3 +70,11 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_decontamination", decontaminate.ORACLE)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    from marketflow.llm import toxicity as X
+
+    docs = table(spark, folder, "documents")
+    return X.score_toxicity(docs, X.learn_toxicity(docs, table(spark, folder, "labels")))
