@@ -78,3 +78,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 
     docs = table(spark, folder, "documents")
     return X.score_toxicity(docs, X.learn_toxicity(docs, table(spark, folder, "labels")))
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    from marketflow.llm import langid as L
+
+    docs = table(spark, folder, "documents")
+    return L.identify(docs, L.learn_languages(docs))
