@@ -86,3 +86,11 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 
     docs = table(spark, folder, "documents")
     return L.identify(docs, L.learn_languages(docs))
+
+
+@query("op3_sentencepiece")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    from marketflow.llm import pieces as P
+
+    path = tokenizer_path("piece_bpe_32k.model")
+    return P.with_decoded_digest(P.encode_texts(table(spark, folder, "documents"), path), path)
