@@ -170,32 +170,65 @@ class WordEncoder:
     letters, so words are looked up without both; ``lower_case=False`` is for files that do not.
     """
 
-    def __init__(self, path: str, id_bytes: int, most: int = 500_000, lower_case: bool = True):
+    def __init__(self, path: str, id_bytes: int, most: int = 300_000, lower_case: bool = True):
         self.tokenizer, self.code, self.most = _tokenizer(path), {2: "H", 4: "I"}[id_bytes], most
         self.lower_case = lower_case
+        self.width = id_bytes
+        vocabulary = self.tokenizer.get_vocab(True)
+        self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.word_end[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
         self.plain: dict[bytes, bytes] = {}
 
-    def _plain(self, word: bytes) -> tuple[bytes, bytes]:
-        mark = b""
-        if word[-1:] in (b".", b",") and word[-2:-1].isalpha():
-            word, mark = word[:-1], word[-1:]
-        # a special token must be written as it stands, and a capital before a combining mark is no ASCII word
-        return (word.lower() if b"<" not in word and word.isascii() else word), mark
+    def _plain(self, new: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+        """The words without closing mark and capitals, and the marks."""
+        if not self.lower_case:
+            return new, [b""] * len(new)
+        stems, marks = [], []
+        for w in new:
+            mark = w[-1:]
+            if (mark == b"." or mark == b",") and w[-2:-1].isalpha():
+                w = w[:-1]
+            else:
+                mark = b""
+            # a special token must be written as it stands, and a capital before a combining mark is no ASCII word
+            stems.append(w.lower() if w.isascii() and b"<" not in w else w)
+            marks.append(mark)
+        return stems, marks
+
+    def _joined(self, letters: list[bytes]) -> list[bytes]:
+        """Ids of words of letters alone, encoded as texts of 100: each ends with its one word-end token."""
+        if not letters:
+            return []
+        out: list[bytes] = []
+        rows = [letters[k : k + 100] for k in range(0, len(letters), 100)]
+        coded = self.tokenizer.encode_batch_fast([b" ".join(r).decode() for r in rows], add_special_tokens=False)
+        for row, e in zip(rows, coded):
+            ids = np.array(e.ids, np.int64)
+            ends = np.flatnonzero(self.word_end[ids]) + 1
+            if len(ends) != len(row):  # not a word-end vocabulary
+                alone = self.tokenizer.encode_batch_fast([w.decode() for w in row], add_special_tokens=False)
+                out += [array(self.code, x.ids).tobytes() for x in alone]
+                continue
+            raw = ids.astype(f"<u{self.width}").tobytes()
+            cuts = [0, *(ends * self.width).tolist()]
+            out += [raw[i:j] for i, j in zip(cuts, cuts[1:])]
+        return out
 
     def _learn(self, new: list[bytes]) -> None:
-        forms = [self._plain(w) for w in new] if self.lower_case else [(w, b"") for w in new]
-        needed = {part for form in forms for part in form} - self.plain.keys() - {b""}
+        stems, marks = self._plain(new)
+        needed = {*stems, b".", b","} - self.plain.keys()
         if len(self.plain) + len(needed) > self.most:
             self.plain = {}
-            needed = {part for form in forms for part in form} - {b""}
-        needed = list(needed)
-        coded = self.tokenizer.encode_batch_fast([w.decode() for w in needed], add_special_tokens=False)
-        plain, code = self.plain, self.code
-        plain.update((w, array(code, e.ids).tobytes()) for w, e in zip(needed, coded))
-        self.known.update(
-            (w, plain[stem] + plain[mark] if mark else plain[stem]) for w, (stem, mark) in zip(new, forms)
-        )
+            needed = {*stems, b".", b","}
+        plain = self.plain
+        letters = [w for w in needed if w.decode().isalpha()] if self.lower_case else []
+        plain.update(zip(letters, self._joined(letters)))
+        others = list(needed.difference(letters))
+        coded = self.tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)
+        plain.update((w, array(self.code, e.ids).tobytes()) for w, e in zip(others, coded))
+        end = {b"": b"", b".": plain[b"."], b",": plain[b","]}
+        self.known.update(zip(new, [plain[s] + end[m] for s, m in zip(stems, marks)]))
 
     def encode(self, texts: Sequence[bytes]) -> list[bytes]:
         """Little-endian ids of each text."""
