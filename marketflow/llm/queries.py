@@ -94,3 +94,10 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 
     path = tokenizer_path("piece_bpe_32k.model")
     return P.with_decoded_digest(P.encode_texts(table(spark, folder, "documents"), path), path)
+
+
+@query("op1_substring_dedup")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    from marketflow.llm import substrings as S
+
+    return S.repeat_report(table(spark, folder, "documents"))
