@@ -101,3 +101,10 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     from marketflow.llm import substrings as S
 
     return S.repeat_report(table(spark, folder, "documents"))
+
+
+@query("op4_suffix_dedup")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    from marketflow.llm import bytepassages as B
+
+    return B.string_report(table(spark, folder, "documents"))
