@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketflow.llm.shipping import fresh_name
 from marketflow.session import stored
 
 SHINGLE = 5
@@ -155,8 +156,9 @@ def _verified(
 def drop_contaminated(docs: DataFrame, items: DataFrame, containment: float = LEAST_CONTAINMENT) -> DataFrame:
     """The rows of ``docs`` in which no item is contained."""
     found = contained_items(docs, items, containment)
-    hit = stored(found.select(F.col("doc_id").cast("long").alias("__leak")).distinct(), "leaking-ids")
-    return docs.join(_small(hit, BROADCAST_ROWS), docs["doc_id"].eqNullSafe(hit["__leak"]), "left_anti")
+    leak = fresh_name(docs, "leak")
+    hit = stored(found.select(F.col("doc_id").alias(leak)).distinct(), "leaking-ids")
+    return docs.join(_small(hit, BROADCAST_ROWS), docs["doc_id"].eqNullSafe(hit[leak]), "left_anti")
 
 
 #: The same by brute force: every shingle of every document against every shingle of every item.

@@ -229,7 +229,7 @@ def encode_texts(docs: DataFrame, model_path: str, keep: Sequence[str] = ("doc_i
 
     Null and empty texts have no ids.  Other columns are ignored; there is no shuffle.
     """
-    chosen = docs.select(*keep, "text")
+    chosen = docs.select(*[F.col(f"`{c}`") for c in keep], "text")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
     names = [*keep, "n_tokens", "ids"]
 
@@ -251,7 +251,7 @@ def encode_texts(docs: DataFrame, model_path: str, keep: Sequence[str] = ("doc_i
 
 def decode_ids(encoded: DataFrame, model_path: str, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` and ``text``, decoded from ``ids`` (null: null)."""
-    chosen = encoded.select(*keep, "ids")
+    chosen = encoded.select(*[F.col(f"`{c}`") for c in keep], "ids")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
 
     def back(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

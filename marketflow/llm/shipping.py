@@ -35,3 +35,11 @@ def arrow_map(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     """``df.mapInArrow`` for a function of this package."""
     ship_package(df.sparkSession)
     return df.mapInArrow(function, schema)
+
+
+def fresh_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have."""
+    name, taken = base, {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from marketflow.llm import golay
 from marketflow.llm.blocks import IS_SEPARATOR, text_slices
 from marketflow.llm.components import connected_components, local_roots
-from marketflow.llm.shipping import arrow_map
+from marketflow.llm.shipping import arrow_map, fresh_name
 from marketflow.session import stored
 
 SEED, SHINGLE, BITS, MOST_DIFFERENT = 42, 4, 64, 4
@@ -222,9 +222,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one_per_group(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id is its component's smallest; repeated rows of it become one.
 
-    Rows without a doc_id cannot be told apart by it and are kept.
+    Rows without a doc_id cannot be told apart by it and are kept.  All columns stay as they are.
     """
-    found = near_duplicates(docs)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__kept_id")).distinct()
-    named = docs.join(kept, docs["doc_id"].cast("long") == kept["__kept_id"], "left_semi").dropDuplicates(["doc_id"])
+    found = stored(near_duplicates(docs), "near-duplicates")
+    kept_id = fresh_name(docs, "kept_id")
+    kept = found.where(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias(kept_id)).count()
+    repeated = not kept.where("count > 1").limit(1).isEmpty()
+    kept = kept.select(kept_id).hint("shuffle_hash")
+    named = docs.join(kept, docs["doc_id"].cast("long") == kept[kept_id], "left_semi")
+    if repeated:  # otherwise dropping them would sort all texts for nothing
+        named = named.dropDuplicates(["doc_id"])
     return named.unionByName(docs.where(F.col("doc_id").isNull()))
