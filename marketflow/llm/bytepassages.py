@@ -55,10 +55,10 @@ def repeated_anywhere(found: R.Segments) -> np.ndarray:
 
 
 def repeated_strings(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, n) for runs of 400-byte windows that occur elsewhere: bytes ``start`` to ``start + n + 398``."""
+    """(doc_id, start, end): maximal stretches of bytes in 400-byte strings that occur elsewhere; end exclusive."""
     rows = R.numbered(docs)
     runs = R.repeated_windows(rows, BYTES, repeated_anywhere, spare_first=False)
-    return rows.select("rid", "doc_id").join(runs, "rid").select("doc_id", "start", "n")
+    return R.spans(rows, runs, BYTES.width)
 
 
 def without_repeated_strings(docs: DataFrame) -> DataFrame:

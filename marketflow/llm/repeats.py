@@ -389,6 +389,29 @@ def with_runs(rows: DataFrame, runs: DataFrame) -> DataFrame:
     return rows.join(lists.hint("shuffle_hash"), "rid", "left").select("doc_id", "text", "runs")
 
 
+def spans(rows: DataFrame, runs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, start, end): the maximal stretches of symbols that the runs' windows cover."""
+
+    def unite(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs, starts, ends = [], [], []
+            for doc_id, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                reach = -1
+                for begin, end in sorted((x["start"], x["start"] + x["n"] - 1 + width) for x in found):
+                    if begin > reach:
+                        docs.append(doc_id)
+                        starts.append(begin)
+                        ends.append(end)
+                    ends[-1] = reach = max(reach, end)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in (docs, starts, ends)], ["doc_id", "start", "end"]
+            )
+
+    lists = runs.groupBy("rid").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    found = rows.select("rid", "doc_id").join(lists, "rid").select("doc_id", "runs")
+    return arrow_map(found, unite, "doc_id long, start long, end long")
+
+
 def covered_symbols(runs: list[tuple[int, int]], width: int, size: int) -> np.ndarray:
     """True for each symbol inside a window of the runs (first window, windows)."""
     marks = np.zeros(size + 1, np.int32)

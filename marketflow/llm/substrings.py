@@ -113,14 +113,14 @@ def later_leaves(found: R.Segments) -> np.ndarray:
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, n) for runs of windows that start earlier too: words ``start`` to ``start + n + 18``.
+    """(doc_id, start, end): maximal stretches of words in windows that start earlier too; end exclusive.
 
     Earlier means a smaller doc_id (null first), or an earlier place in the same text; rows of one
     doc_id are ordered as read.
     """
     rows = R.numbered(docs)
     runs = R.repeated_windows(rows, WORDS, later_leaves, spare_first=True)
-    return rows.select("rid", "doc_id").join(runs, "rid").select("doc_id", "start", "n")
+    return R.spans(rows, runs, WORDS.width)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:

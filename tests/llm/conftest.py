@@ -1,0 +1,19 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from llm_fixtures import text_of  # noqa: E402
+
+
+@pytest.fixture
+def odd_rows():
+    """Null and empty texts, separators only, one word, a very long text, repeated rows, ties, a null id."""
+    long = text_of(30_000, 5)
+    same = text_of(60, 6)
+    return [
+        (1, None), (2, ""), (3, " \t\n\x0b\x0c\r "), (4, "word"), (5, long), (6, same), (6, same), (7, same),
+        (8, "a " * 3000), (9, "é" * 500 + " ß€𐍈 " * 40), (None, "no id here " * 30), (10, same + " and more"),
+    ]
