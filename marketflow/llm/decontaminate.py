@@ -34,34 +34,33 @@ def lower_words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATORS), lambda w: w != "")
 
 
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` and its lambdas name it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def shingle_texts(words: Column, n: int = SHINGLE) -> Column:
     """Distinct shingles of n words; fewer words are one shingle, no words none."""
-    many = F.transform(
-        F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, F.lit(n)), " ")
-    )
-    one = F.array(F.array_join(words, " "))
-    none = F.array().cast("array<string>")
-    return F.array_distinct(F.when(F.size(words) >= n, many).when(F.size(words) > 0, one).otherwise(none))
 
+    def cut(w: Column) -> Column:
+        many = F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, F.lit(n)), " "))
+        one = F.array(F.array_join(w, " "))
+        return F.when(F.size(w) >= n, many).when(F.size(w) > 0, one).otherwise(F.array().cast("array<string>"))
 
-def _hash_of(hashes: Column, i: Column, n: int = SHINGLE) -> Column:
-    return F.xxhash64(*[F.get(hashes, i + k) for k in range(n)])
+    return F.array_distinct(bound(words, cut))
 
 
 def shingle_hashes(words: Column, n: int = SHINGLE) -> Column:
     """Distinct hashes of the shingles, from one hash per word."""
-    one_each = F.transform(words, lambda w: F.xxhash64(w))
-    # arrays are bound to a name by transform over a one-element array, so that words are hashed once
-    many = F.get(
-        F.transform(
-            F.array(one_each),
-            lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - n), lambda i: _hash_of(h, i, n)),
-        ),
-        F.lit(0),
-    )
-    few = F.array(F.aggregate(one_each, F.lit(0).cast("long"), lambda s, h: F.xxhash64(s, h)))
-    none = F.array().cast("array<long>")
-    return F.array_distinct(F.when(F.size(words) >= n, many).when(F.size(words) > 0, few).otherwise(none))
+
+    def cut(h: Column) -> Column:
+        many = F.transform(
+            F.sequence(F.lit(0), F.size(h) - n), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(n)])
+        )
+        one = F.array(F.aggregate(h, F.lit(0).cast("long"), lambda s, x: F.xxhash64(s, x)))
+        return F.when(F.size(h) >= n, many).when(F.size(h) > 0, one).otherwise(F.array().cast("array<long>"))
+
+    return F.array_distinct(bound(F.transform(words, lambda w: F.xxhash64(w)), cut))
 
 
 def least_shared(n: Column, containment: float) -> Column:
