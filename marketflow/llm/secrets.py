@@ -227,15 +227,9 @@ def redact_secrets(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     clean = F.aggregate(
         spans, start, step, lambda s: F.concat(s["out"], F.substr(F.col("text"), s["at"] + 1, F.length("text")))
     )
-    out = with_secret_spans(docs)
-    hit = F.size(spans) > 0
-    columns = []
-    for c in docs.columns:
-        if c == "text":
-            columns.append(F.when(hit, clean).otherwise(F.col("text")).alias("text"))
-        elif c == "n_chars":
-            kind = dict(docs.dtypes)[c]
-            columns.append(F.when(hit, F.length(clean)).otherwise(F.col(c)).cast(kind).alias(c))
-        else:
-            columns.append(F.col(f"`{c}`"))
-    return out.select(*columns)
+    kinds = dict(docs.dtypes)
+    out = with_secret_spans(docs).withColumn("text", F.when(F.size(spans) > 0, clean).otherwise(F.col("text")))
+    if "n_chars" in kinds:
+        counted = F.when(F.size(spans) > 0, F.length("text")).otherwise(F.col("n_chars"))
+        out = out.withColumn("n_chars", counted.cast(kinds["n_chars"]))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
