@@ -374,19 +374,20 @@ def repeated_windows(rows: DataFrame, w: Windows, decide: Callable[[Segments], n
     """
     ship_package(rows.sparkSession)
     n_buckets = BUCKETS_PER_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # every reading takes all four columns, so that one exchange serves them all
     rows = rows.select("rid", "ord", "text", "doc_id")
-    reports = arrow_map(rows.select("rid", "ord", "text"), _report(w, n_buckets), "bucket int, blob binary")
+    reports = arrow_map(rows, _report(w, n_buckets), "bucket int, blob binary")
     live = reports.groupBy("bucket").applyInArrow(_live, "rid long, anchor long")
     lists = live.groupBy("rid").agg(F.collect_list("anchor").alias("anchors"))
-    chosen = rows.join(lists.hint("shuffle_hash"), "rid").select("rid", "ord", "text", "anchors")
+    chosen = rows.join(lists.hint("shuffle_hash"), "rid").select("rid", "ord", "text", "anchors", "doc_id")
     sent = arrow_map(chosen, _send(w, n_buckets, spare_first), "bucket int, blob binary")
     return sent.groupBy("bucket").applyInArrow(_solve(decide), RUNS)
 
 
 def with_runs(rows: DataFrame, runs: DataFrame) -> DataFrame:
-    """(doc_id, text, runs): every row with its runs (null: none)."""
+    """(doc_id, text, runs, rid, ord): every row with its runs (null: none)."""
     lists = runs.groupBy("rid").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
-    return rows.join(lists.hint("shuffle_hash"), "rid", "left").select("doc_id", "text", "runs")
+    return rows.join(lists.hint("shuffle_hash"), "rid", "left").select("doc_id", "text", "runs", "rid", "ord")
 
 
 def spans(rows: DataFrame, runs: DataFrame, width: int) -> DataFrame:
