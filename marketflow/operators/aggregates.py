@@ -86,8 +86,12 @@ def histogram(df: DataFrame, col: str, n: int) -> DataFrame:
 def pivot_sum(
     df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequence[str], col: str
 ) -> DataFrame:
-    """One column per listed value; a value absent from a group is null."""
-    return df.groupBy(*keys).pivot(pivot_col, list(values)).agg(F.sum(col))
+    """One column per listed value; a value absent from a group is null.
+
+    Each is a conditional sum, so that one partial aggregate and one shuffle serve them all.
+    """
+    sums = [F.sum(F.when(F.col(pivot_col) == v, F.col(col))).alias(v) for v in values]
+    return df.groupBy(*keys).agg(*sums)
 
 
 def group_members(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketflow.functions.dates import trade_date
@@ -15,6 +15,11 @@ OPTION_TYPES = ["XX", "PE", "CE"]
 GROUP_KEYS = ["rts", "SYMBOL", "INSTRUMENT", "EXPIRY_DT", "OPTION_TYP", "YEAR", "MONTH", "DAY"]
 PCR_KEYS = ["rts", "SYMBOL", "EXPIRY_DT", "YEAR", "MONTH", "DAY"]
 CONTRACT = ["SYMBOL", "EXPIRY_DT", "INSTRUMENT"]
+# The processed table's columns.
+PROCESSED = [
+    "rts", "SYMBOL", "EXPIRY_DT", "INSTRUMENT", "OPTION_TYP", "CONTRACTS", "VALUE", "OPEN_INT", "PCR",
+    "YEAR", "MONTH", "DAY",
+]
 
 
 def drop_phantom(df: DataFrame) -> DataFrame:
@@ -35,27 +40,47 @@ def with_trade_date(df: DataFrame) -> DataFrame:
     )
 
 
+#: Daily totals by output name, and the column each adds up (fixed values of the file format).
+DAILY_TOTALS = {"CONTRACTS": "CONTRACTS", "VALUE": "VAL_INLAKH", "OPEN_INT": "OPEN_INT"}
+
+
 def group_instruments(df: DataFrame, derive: bool = True) -> DataFrame:
     """Daily totals per contract line; ``derive=False`` when YEAR, MONTH and DAY are present."""
-    if derive:
-        df = with_trade_date(df)
-    else:
-        df = drop_phantom(df).withColumn("rts", F.to_timestamp(trade_date(F.col("TIMESTAMP"))))
-    return df.groupBy(*GROUP_KEYS).agg(
-        F.sum("CONTRACTS").alias("CONTRACTS"),
-        F.sum("VAL_INLAKH").alias("VALUE"),
-        F.sum("OPEN_INT").alias("OPEN_INT"),
-    )
+    dated = with_trade_date(df)
+    if not derive:
+        dated = drop_phantom(df).withColumn("rts", F.to_timestamp(trade_date(F.col("TIMESTAMP"))))
+    return dated.groupBy(*GROUP_KEYS).agg(*[F.sum(source).alias(name) for name, source in DAILY_TOTALS.items()])
+
+
+def _counts_for_pcr() -> Column:
+    """Stock futures are left out of the ratio; index futures stay, as XX."""
+    return F.col("INSTRUMENT") != "FUTSTK"
 
 
 def pcr_by_contracts(grouped: DataFrame) -> DataFrame:
-    """Put-call ratio of traded contracts; stock futures are left out, index futures stay as XX."""
-    wide = pivot_sum(
-        grouped.filter("INSTRUMENT != 'FUTSTK'"), PCR_KEYS, "OPTION_TYP", OPTION_TYPES, "CONTRACTS"
-    )
+    """Put-call ratio of traded contracts by symbol, expiry and day."""
+    wide = pivot_sum(grouped.filter(_counts_for_pcr()), PCR_KEYS, "OPTION_TYP", OPTION_TYPES, "CONTRACTS")
     return wide.withColumn("pcr", safe_divide(F.col("PE"), F.col("CE")))
 
 
+def with_pcr(grouped: DataFrame) -> DataFrame:
+    """Grouped rows with PE, CE and PCR of their symbol, expiry and day.
+
+    A group holds the few instrument and option types of one contract, so the ratio is a window over
+    the grouped rows: they are made once and shuffled once more.  Rows whose group has nothing to count
+    for the ratio, or whose key is null, disappear, as they would in an inner join.
+    """
+    together = Window.partitionBy("rts", "SYMBOL", "EXPIRY_DT")
+
+    def total(kind: str) -> Column:
+        return F.sum(F.when(_counts_for_pcr() & (F.col("OPTION_TYP") == kind), F.col("CONTRACTS"))).over(together)
+
+    counted = grouped.dropna(subset=["rts", "SYMBOL", "EXPIRY_DT"]).withColumns(
+        {"PE": total("PE"), "CE": total("CE"), "_counted": F.count_if(_counts_for_pcr()).over(together)}
+    )
+    return counted.filter("_counted > 0").drop("_counted").withColumn("PCR", safe_divide(F.col("PE"), F.col("CE")))
+
+
 def pcr_by_open_interest(df: DataFrame) -> DataFrame:
     """Put-call ratio of open interest, for contracts that have both calls and puts.
 
@@ -78,22 +103,9 @@ def pcr_by_open_interest(df: DataFrame) -> DataFrame:
     )
 
 
-def combine_grouped_and_pcr(grouped: DataFrame, pcr: DataFrame) -> DataFrame:
-    """Grouped rows with their PCR; contracts without a PCR row disappear (inner join)."""
-    return (
-        grouped.alias("g")
-        .join(pcr.alias("p"), ["rts", "SYMBOL", "EXPIRY_DT"])
-        .select(
-            "rts", "SYMBOL", "EXPIRY_DT", "INSTRUMENT", "OPTION_TYP", "CONTRACTS", "VALUE",
-            "OPEN_INT", F.col("pcr").alias("PCR"), "g.YEAR", "g.MONTH", "g.DAY",
-        )
-    )
-
-
 def process_day_files(df: DataFrame) -> DataFrame:
     """Raw rows to the processed table: normalise, group, add PCR."""
-    grouped = df.transform(group_instruments)
-    return combine_grouped_and_pcr(grouped, grouped.transform(pcr_by_contracts))
+    return with_pcr(group_instruments(df)).select(*PROCESSED)
 
 
 def _futures_status(futures: DataFrame, **tuning) -> DataFrame:

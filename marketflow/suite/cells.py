@@ -249,24 +249,27 @@ _KEY = (
 )
 
 
+_CELL = (
+    "CASE q WHEN 'OPR' THEN OPEN WHEN 'HPR' THEN HIGH WHEN 'LPR' THEN LOW WHEN 'CPR' THEN CLOSE WHEN 'SPR' THEN SETTLE_PR "
+    "WHEN 'CNTRS' THEN CONTRACTS WHEN 'VLKH' THEN VAL_INLAKH WHEN 'OI' THEN OPEN_INT ELSE CHG_IN_OI END"
+)
+_QUALIFIERS = "(SELECT unnest(['OPR','HPR','LPR','CPR','SPR','CNTRS','VLKH','OI','CHGOI']) AS q)"
+
+
 @query(
     "cl_24_bhav_to_cells",
-    f"WITH {FO} SELECT {_KEY} AS \"row\", 'D' AS family, q AS qualifier, TRADE_ID AS ts, CASE q WHEN 'CNTRS' THEN CONTRACTS "
-    "WHEN 'OI' THEN OPEN_INT ELSE CHG_IN_OI END::VARCHAR AS value FROM fo CROSS JOIN (VALUES ('CNTRS'), ('OI'), ('CHGOI')) v(q)",
+    f"WITH {FO} SELECT {_KEY} AS \"row\", 'D' AS family, q AS qualifier, TRADE_ID AS ts, {_CELL}::DOUBLE AS value "
+    f"FROM fo CROSS JOIN {_QUALIFIERS}",
 )
 def _(t):
-    # All nine columns become cells; the three whole-number ones are compared as text.
+    # The texts are compared as numbers, since the two engines write large ones differently.
     cells = C.bhav_to_cells(fo_bhav(t), F.col("TRADE_ID"))
-    whole = cells.filter(F.col("qualifier").isin("CNTRS", "OI", "CHGOI"))
-    return whole.select("row", "family", "qualifier", "ts", "value")
+    return cells.select("row", "family", "qualifier", "ts", F.col("value").cast("double").alias("value"))
 
 
 @query(
     "cl_24_bhav_cell_totals",
-    f"WITH {FO} SELECT q AS qualifier, count(*) AS n, round(sum(CASE q WHEN 'OPR' THEN OPEN WHEN 'HPR' THEN HIGH WHEN 'LPR' "
-    "THEN LOW WHEN 'CPR' THEN CLOSE WHEN 'SPR' THEN SETTLE_PR WHEN 'CNTRS' THEN CONTRACTS WHEN 'VLKH' THEN VAL_INLAKH "
-    "WHEN 'OI' THEN OPEN_INT ELSE CHG_IN_OI END), 2) AS total FROM fo CROSS JOIN "
-    "(SELECT unnest(['OPR','HPR','LPR','CPR','SPR','CNTRS','VLKH','OI','CHGOI']) AS q) GROUP BY 1",
+    f"WITH {FO} SELECT q AS qualifier, count(*) AS n, round(sum({_CELL}), 2) AS total FROM fo CROSS JOIN {_QUALIFIERS} GROUP BY 1",
 )
 def _(t):
     cells = C.bhav_to_cells(fo_bhav(t), F.col("TRADE_ID"))

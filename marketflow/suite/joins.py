@@ -9,10 +9,11 @@ from marketflow.plans.matches import match_totals
 from marketflow.suite.registry import query
 
 
-def _yearly(t, status: str):
-    """Per customer and year: orders, and value, of one order status."""
+def _yearly(t, done: bool):
+    """Per customer and year: orders, and value, of finished orders or of all others."""
+    finished = F.col("o_orderstatus") == "F"
     return (
-        t.orders.filter(F.col("o_orderstatus") == status)
+        t.orders.filter(finished if done else ~finished)
         .groupBy(F.col("o_custkey").alias("id"), F.year("o_orderdate").cast("bigint").alias("year"))
         .agg(F.count(F.lit(1)).alias("matches"), F.round(F.sum("o_totalprice"), 2).alias("runs"))
     )
@@ -22,16 +23,16 @@ YEARLY = """
 test AS (SELECT o_custkey AS id, year(o_orderdate) AS year, count(*) AS matches, round(sum(o_totalprice), 2) AS runs
   FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL),
 odi AS (SELECT o_custkey AS id, year(o_orderdate) AS year, count(*) AS matches, round(sum(o_totalprice), 2) AS runs
-  FROM orders WHERE o_orderstatus = 'O' GROUP BY ALL)
+  FROM orders WHERE o_orderstatus <> 'F' GROUP BY ALL)
 """
 
 
 def _test(t):
-    return _yearly(t, "F")
+    return _yearly(t, True)
 
 
 def _odi(t):
-    return _yearly(t, "O").withColumnsRenamed({"matches": "omatches", "runs": "oruns"})
+    return _yearly(t, False).withColumnsRenamed({"matches": "omatches", "runs": "oruns"})
 
 
 ODI = "(SELECT id, year, matches AS omatches, runs AS oruns FROM odi)"
@@ -119,11 +120,12 @@ def _(t):
 
 @query(
     "jn_09_left_semi",
-    "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)",
+    "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT s_suppkey FROM supplier)",
 )
 def _(t):
-    c, o = t.customer, t.orders.filter("o_totalprice > 400000")
-    return c.join(o, c["c_custkey"] == o["o_custkey"], "left_semi").select("c_custkey", "c_name")
+    # Most customer numbers are no supplier's.
+    c, s = t.customer, t.supplier
+    return c.join(s, c["c_custkey"] == s["s_suppkey"], "left_semi").select("c_custkey", "c_name")
 
 
 @query(
@@ -178,18 +180,15 @@ def _(t):
 
 
 def _pairs(t):
-    orders = t.orders.filter("o_totalprice > 250000").select(
-        F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v1")
-    )
-    items = t.lineitem.filter("l_quantity > 25").select(
-        F.col("l_orderkey").alias("k"), F.col("l_quantity").alias("v2")
-    )
+    # Item keys are moved up by one, so that both sides have rows without a partner.
+    orders = t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v1"))
+    items = t.lineitem.select((F.col("l_orderkey") + 1).alias("k"), F.col("l_quantity").alias("v2"))
     return orders, items
 
 
 _PAIRS = (
-    "(SELECT o_orderkey AS k, o_totalprice AS v1 FROM orders WHERE o_totalprice > 250000) a {how} JOIN "
-    "(SELECT l_orderkey AS k, l_quantity AS v2 FROM lineitem WHERE l_quantity > 25) b USING (k)"
+    "(SELECT o_orderkey AS k, o_totalprice AS v1 FROM orders) a {how} JOIN "
+    "(SELECT l_orderkey + 1 AS k, l_quantity AS v2 FROM lineitem) b USING (k)"
 )
 
 
@@ -226,4 +225,4 @@ def _(t):
     f"matches + coalesce(omatches, 0) AS totmatches FROM test LEFT JOIN {ODI} USING (id, year)",
 )
 def _(t):
-    return match_totals(_test(t), _yearly(t, "O"))
+    return match_totals(_test(t), _yearly(t, False))

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketflow.functions.dates import trade_date
-from marketflow.functions.numbers import market_direction, safe_divide
-from marketflow.operators.aggregates import pivot_sum
+from marketflow.functions.numbers import market_direction
 from marketflow.operators.collections import upsert
 from marketflow.plans import derivatives as M
 from marketflow.session import scratch_path
@@ -73,20 +72,14 @@ def _(t):
 
 @query(
     "mkt_06_market_direction",
-    "WITH d AS (SELECT user_id, ts::DATE AS day, sum(value) FILTER (event_type = 'signup') AS xx, "
-    "sum(value) FILTER (event_type = 'view') AS pe, sum(value) FILTER (event_type = 'click') AS ce "
-    "FROM events WHERE event_type IN ('view', 'click', 'signup') GROUP BY ALL), "
-    "r AS (SELECT user_id, day, round(pe / ce, 6) AS pcr FROM d) "
-    "SELECT user_id, day, pcr, CASE WHEN pcr > 1.2 THEN 'extreme bullish' WHEN pcr > 0.8 THEN 'bullish' "
+    f"WITH {GROUPED}, r AS (SELECT rts, SYMBOL, EXPIRY_DT, round(pcr, 6) AS pcr FROM p) "
+    "SELECT rts, SYMBOL, EXPIRY_DT, pcr, CASE WHEN pcr > 1.2 THEN 'extreme bullish' WHEN pcr > 0.8 THEN 'bullish' "
     "WHEN pcr < 0.6 THEN 'extreme bearish' WHEN pcr < 0.8 THEN 'bearish' WHEN pcr = 0.8 THEN 'neutral' END AS direction FROM r",
 )
 def _(t):
-    # Views stand for puts, clicks for calls, sign-ups for futures.
-    kinds = ["signup", "view", "click"]
-    rows = t.events.filter(F.col("event_type").isin(kinds)).withColumn("day", F.to_date("ts"))
-    wide = pivot_sum(rows, ["user_id", "day"], "event_type", kinds, "value")
-    pcr = wide.select("user_id", "day", F.round(safe_divide(F.col("view"), F.col("click")), 6).alias("pcr"))
-    return pcr.withColumn("direction", market_direction(F.col("pcr"))).orderBy("user_id", "day")
+    pcr = _flat(M.pcr_by_contracts(M.group_instruments(fo_bhav(t))))
+    rounded = pcr.select("rts", "SYMBOL", "EXPIRY_DT", F.round("pcr", 6).alias("pcr"))
+    return rounded.withColumn("direction", market_direction(F.col("pcr")))
 
 
 @query(

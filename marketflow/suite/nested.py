@@ -11,13 +11,13 @@ from marketflow.suite.registry import query
 
 
 def _numbers(t):
-    """Key and an array of ints per embedding: its first five dimensions in thousandths."""
-    whole = F.transform(F.slice("embedding", 1, 5), lambda v: F.floor(v.cast("double") * 1000).cast("int"))
+    """Key and an array of ints per embedding: all its dimensions in thousandths."""
+    whole = F.transform("embedding", lambda v: F.floor(v.cast("double") * 1000).cast("int"))
     return t.embeddings.select(F.col("vec_id").alias("key"), whole.alias("values"))
 
 
 NUMBERS = """
-nums AS (SELECT vec_id AS key, list_transform(embedding[1:5], lambda v: floor(v::DOUBLE * 1000)::INTEGER) AS vals
+nums AS (SELECT vec_id AS key, list_transform(embedding, lambda v: floor(v::DOUBLE * 1000)::INTEGER) AS vals
   FROM embeddings)
 """
 
@@ -30,10 +30,10 @@ def _sql_text(expr: str) -> str:
     return f"array_to_string(list_transform({expr}, lambda z: z::VARCHAR), ',')"
 
 
-@query("ar_01_element", f"WITH {NUMBERS} SELECT key, vals[1] AS first, vals[6] AS beyond FROM nums")
+@query("ar_01_element", f"WITH {NUMBERS} SELECT key, vals[1] AS first, vals[len(vals) + 1] AS beyond FROM nums")
 def _(t):
     return _numbers(t).select(
-        "key", F.col("values")[0].alias("first"), F.get("values", F.lit(5)).alias("beyond")
+        "key", F.col("values")[0].alias("first"), F.get("values", F.size("values")).alias("beyond")
     )
 
 
@@ -42,27 +42,25 @@ def _(t):
     return X.explode_array(_numbers(t), "values").select("key", "element")
 
 
-def _by_customer(t):
-    """Customers with a nested list of their large orders; customers without any have a null path."""
-    big = t.orders.filter("o_totalprice > 450000").groupBy("o_custkey").agg(
-        F.array_sort(F.collect_list("o_orderkey")).alias("big")
-    )
-    joined = t.customer.join(big, F.col("c_custkey") == F.col("o_custkey"), "left")
-    return joined.select("c_custkey", F.struct(F.struct("big").alias("orders")).alias("info"))
+def _behind_a_path(t):
+    """Numbers two structs deep; embeddings of an even label have a null there."""
+    odd = F.when(F.col("label") % 2 != 0, F.col("values"))
+    labelled = _numbers(t).join(t.embeddings.select(F.col("vec_id").alias("key"), "label"), "key")
+    return labelled.select("key", F.struct(F.struct(odd.alias("odd")).alias("numbers")).alias("info"))
 
 
 @query(
     "ar_03_explode_outer",
-    "SELECT c_custkey, o_orderkey AS element FROM customer LEFT JOIN "
-    "(SELECT * FROM orders WHERE o_totalprice > 450000) ON c_custkey = o_custkey",
+    f"WITH {NUMBERS} SELECT key, unnest(vals) AS element FROM nums JOIN embeddings ON vec_id = key WHERE label % 2 <> 0 "
+    "UNION ALL SELECT vec_id, NULL FROM embeddings WHERE label % 2 = 0",
 )
 def _(t):
-    return X.explode_array(_by_customer(t), "info.orders.big", outer=True).select("c_custkey", "element")
+    return X.explode_array(_behind_a_path(t), "info.numbers.odd", outer=True).select("key", "element")
 
 
 def _nested(t):
     v = F.col("values")
-    return _numbers(t).select("key", F.array(F.slice(v, 1, 2), F.slice(v, 3, 3)).alias("nested_values"))
+    return _numbers(t).select("key", F.array(F.slice(v, F.lit(1), F.lit(2)), F.slice(v, F.lit(3), F.size(v))).alias("nested_values"))
 
 
 @query("ar_04_flatten", f"WITH {NUMBERS} SELECT key, {_sql_text('vals')} AS flat FROM nums")
@@ -89,7 +87,7 @@ def _(t):
 @query(
     "ar_07_nested_transform",
     f"WITH {NUMBERS} SELECT key, {_sql_text('list_transform(vals[1:2], lambda x: x + key + 2)')} || ';' || "
-    f"{_sql_text('list_transform(vals[3:5], lambda x: x + key + 3)')} AS nested FROM nums",
+    f"{_sql_text('list_transform(vals[3:], lambda x: x + key + len(vals) - 2)')} AS nested FROM nums",
 )
 def _(t):
     changed = F.transform(

@@ -159,44 +159,41 @@ def _(t):
     return t.events.filter((k >= 50) & (F.col("event_type") != "error")).select("event_id")
 
 
-def _customers_with_big_orders(t):
-    big = t.orders.filter("o_totalprice > 400000").select("o_custkey", "o_totalprice")
-    return t.customer.join(big, F.col("c_custkey") == F.col("o_custkey"), "left")
+def _customers_and_suppliers(t):
+    """Every customer, with the balance of the supplier of the same number; most have none."""
+    return t.customer.join(t.supplier, F.col("c_custkey") == F.col("s_suppkey"), "left")
 
 
-_BIG = (
-    "customer LEFT JOIN (SELECT o_custkey, o_totalprice FROM orders WHERE o_totalprice > 400000) "
-    "ON c_custkey = o_custkey"
-)
+_BOTH = "customer LEFT JOIN supplier ON c_custkey = s_suppkey"
 
 
-@query("flt_07_is_null", f"SELECT c_custkey FROM {_BIG} WHERE o_totalprice IS NULL")
+@query("flt_07_is_null", f"SELECT c_custkey FROM {_BOTH} WHERE s_acctbal IS NULL")
 def _(t):
-    return _customers_with_big_orders(t).filter(F.col("o_totalprice").isNull()).select("c_custkey")
+    return _customers_and_suppliers(t).filter(F.col("s_acctbal").isNull()).select("c_custkey")
 
 
-@query("flt_07_is_not_null", f"SELECT c_custkey, o_totalprice FROM {_BIG} WHERE o_totalprice IS NOT NULL")
+@query("flt_07_is_not_null", f"SELECT c_custkey, s_acctbal FROM {_BOTH} WHERE s_acctbal IS NOT NULL")
 def _(t):
-    rows = _customers_with_big_orders(t).filter(F.col("o_totalprice").isNotNull())
-    return rows.select("c_custkey", "o_totalprice")
+    rows = _customers_and_suppliers(t).filter(F.col("s_acctbal").isNotNull())
+    return rows.select("c_custkey", "s_acctbal")
 
 
-@query("flt_08_drop_any_null", f"SELECT c_custkey, c_name, o_totalprice FROM {_BIG} WHERE o_totalprice IS NOT NULL")
+@query("flt_08_drop_any_null", f"SELECT c_custkey, c_name, s_acctbal FROM {_BOTH} WHERE s_acctbal IS NOT NULL")
 def _(t):
-    return _customers_with_big_orders(t).select("c_custkey", "c_name", "o_totalprice").na.drop()
+    return _customers_and_suppliers(t).select("c_custkey", "c_name", "s_acctbal").na.drop()
 
 
-@query("flt_09_fill_null", f"SELECT c_custkey, coalesce(o_totalprice, 0) AS o_totalprice FROM {_BIG}")
+@query("flt_09_fill_null", f"SELECT c_custkey, coalesce(s_acctbal, 0) AS s_acctbal FROM {_BOTH}")
 def _(t):
-    return _customers_with_big_orders(t).select("c_custkey", "o_totalprice").na.fill(0, ["o_totalprice"])
+    return _customers_and_suppliers(t).select("c_custkey", "s_acctbal").na.fill(0, ["s_acctbal"])
 
 
 @query(
     "flt_10_null_to_zero",
-    f"SELECT c_custkey, CASE WHEN o_totalprice IS NULL THEN 0 ELSE o_totalprice END AS total FROM {_BIG}",
+    f"SELECT c_custkey, CASE WHEN s_acctbal IS NULL THEN 0 ELSE s_acctbal END AS total FROM {_BOTH}",
 )
 def _(t):
-    return _customers_with_big_orders(t).select("c_custkey", null_to("o_totalprice", 0.0).alias("total"))
+    return _customers_and_suppliers(t).select("c_custkey", null_to("s_acctbal", 0.0).alias("total"))
 
 
 @query("flt_11_nested_field", "SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'")

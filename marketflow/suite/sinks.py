@@ -66,13 +66,13 @@ def _dated(t):
 @query(
     "snk_06_partitioned_write",
     'SELECT o_orderkey, o_totalprice, year(o_orderdate)::INTEGER AS "YEAR", month(o_orderdate)::INTEGER AS "MONTH" '
-    "FROM orders WHERE year(o_orderdate) = 1997 AND month(o_orderdate) < 4",
+    "FROM orders",
 )
 def _(t):
     name = _fresh_table(t)
     rows = W.spread_by(_dated(t), ["YEAR", "MONTH"])
     W.write_table(rows, name, path=scratch_path(t.spark, "by_month"), partition_by=["YEAR", "MONTH"])
-    return t.spark.table(name).filter("YEAR = 1997 AND MONTH < 4")
+    return t.spark.table(name)
 
 
 @query(
@@ -88,14 +88,14 @@ def _(t):
     return t.spark.table(name)
 
 
-@query("snk_08_csv_by_date", "SELECT o_orderkey, o_totalprice, o_orderdate::DATE AS day FROM orders WHERE year(o_orderdate) = 1996")
+@query("snk_08_csv_by_date", "SELECT o_orderkey, o_totalprice, o_orderdate::DATE AS day FROM orders")
 def _(t):
     path = scratch_path(t.spark, "csv")
     rows = t.orders.select("o_orderkey", "o_totalprice", F.trunc("o_orderdate", "MM").alias("month"), F.to_date("o_orderdate").alias("day"))
     W.write_csv(W.spread_by(rows, ["month"]), path, ["month"])
     ddl = "o_orderkey bigint, o_totalprice double, day date, month date"
     back = t.spark.read.schema(ddl).option("header", True).csv(path)
-    return back.filter("month >= date '1996-01-01' AND month < date '1997-01-01'").drop("month")
+    return back.drop("month")
 
 
 @query("snk_09_write_xml", "SELECT c_custkey AS id, c_name || '|' || c_mktsegment AS names FROM customer")
@@ -121,13 +121,13 @@ def _(t):
 
 @query(
     "snk_12_insert_rows",
-    "SELECT o_orderstatus AS status, label, count(*) AS n FROM orders JOIN (VALUES ('F', 'done'), ('O', 'open')) v(s, label) "
+    "SELECT o_orderstatus AS status, label, count(*) AS n FROM orders JOIN (VALUES ('F', 'done'), ('O', 'open'), ('P', 'partly')) v(s, label) "
     "ON s = o_orderstatus GROUP BY ALL",
 )
 def _(t):
     name = _fresh_table(t)
     t.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (status string, label string) USING parquet")
-    W.insert_rows(t.spark, name, [("F", "done"), ("O", "open")])
+    W.insert_rows(t.spark, name, [("F", "done"), ("O", "open"), ("P", "partly")])
     labelled = t.orders.join(t.spark.table(name), F.col("status") == F.col("o_orderstatus"))
     return labelled.groupBy("status", "label").agg(F.count(F.lit(1)).alias("n"))
 

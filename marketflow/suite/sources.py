@@ -125,10 +125,13 @@ def _(t):
     return rows.select(F.col("venue._id").alias("id"), F.col("venue.true").alias("text"))
 
 
-@query("src_16_rows_names_only", "SELECT c_mktsegment, count(*) AS customers FROM customer WHERE c_mktsegment IN "
-       "('MACHINERY', 'HOUSEHOLD') GROUP BY 1")
+#: All segments of the table.
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
+@query("src_16_rows_names_only", "SELECT c_mktsegment, count(*) AS customers FROM customer GROUP BY 1")
 def _(t):
-    named = t.spark.createDataFrame([("MACHINERY",), ("HOUSEHOLD",)], ["c_mktsegment"])
+    named = t.spark.createDataFrame([(s,) for s in SEGMENTS], ["c_mktsegment"])
     return t.customer.join(named, "c_mktsegment").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("customers"))
 
 

@@ -89,7 +89,8 @@ def test_pcr(fo):
         ("INFY", 115): (None, 6, 0, None),
         ("NIFTY", 114): (9, None, None, None),
     }
-    combined = M.combine_grouped_and_pcr(grouped, M.pcr_by_contracts(grouped))
+    combined = M.process_day_files(fo)
+    assert combined.columns == M.PROCESSED
     assert combined.filter("SYMBOL = 'TCS'").count() == 0
     assert combined.filter("INSTRUMENT = 'FUTSTK' and DAY = 114").first().PCR == 1.5
     oi = {r.TIMESTAMP: (r.totce, r.totpe, r.pcr) for r in M.pcr_by_open_interest(fo).collect()}
