@@ -1,8 +1,8 @@
-"""Plain-Python helpers that are shipped to executors as a file; no imports from this package."""
+"""Helpers that are shipped to executors as a file; no imports from this package."""
 
-MONTHS = "JAN FEB MAR APR MAY JUN JUL AUG SEP OCT NOV DEC".split()
+import pandas as pd
 
 
-def month_digits(text):
+def month_digits(texts: pd.Series) -> pd.Series:
     """Month of ``12-JAN-2019`` as two digits."""
-    return f"{MONTHS.index(text[3:6].upper()) + 1:02d}"
+    return pd.to_datetime(texts.str.title(), format="%d-%b-%Y").dt.strftime("%m")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketflow.functions.dates import trade_date
@@ -202,18 +202,33 @@ def list_families(cells: DataFrame) -> DataFrame:
 # --- mutations -------------------------------------------------------------------------------
 
 
-def put(cells: DataFrame, changes: DataFrame) -> DataFrame:
-    """Append puts; missing ``seq`` and ``is_delete`` default to 0 and false."""
-    if "seq" not in changes.columns:
-        changes = changes.withColumn("seq", F.lit(0).cast("long"))
+def put(cells: DataFrame, changes: DataFrame, order: str | None = None, batch: int = 0) -> DataFrame:
+    """Append puts; a missing ``is_delete`` is false.
+
+    Several puts to one cell at one timestamp need an ``order`` column of whole numbers, the last of
+    which wins; ``batch`` ranks whole batches.  Without ``order`` or ``seq`` such puts are refused.
+    """
     if "is_delete" not in changes.columns:
         changes = changes.withColumn("is_delete", F.lit(False))
+    if order is not None:
+        changes = changes.withColumn("seq", F.lit(batch << 32) + F.col(order).cast("long"))
+    elif "seq" not in changes.columns:
+        changes = _alone(changes, [*COLUMN, "ts"]).withColumn("seq", F.lit(batch << 32).cast("long"))
     return cells.unionByName(changes.select(*cells.columns))
 
 
-def mutate(cells: DataFrame, batch: DataFrame, ts: int) -> DataFrame:
-    """Append a batch of puts and deletes that share one timestamp."""
-    return put(cells, batch.withColumn("ts", F.lit(ts).cast("long")))
+def _alone(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows``, which fail when two of them share all ``keys``."""
+    rest = [c for c in rows.columns if c not in keys]
+    packed = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*rest)).alias("_row"))
+    refused = F.raise_error(F.lit("several rows for one cell need an order column"))
+    checked = packed.withColumn("_row", F.when(F.col("_n") == 1, F.col("_row")).otherwise(refused))
+    return checked.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
+
+
+def mutate(cells: DataFrame, batch: DataFrame, ts: int, order: str | None = None, number: int = 0) -> DataFrame:
+    """Append a batch of puts and deletes that share one timestamp, in the order of column ``order``."""
+    return put(cells, batch.withColumn("ts", F.lit(ts).cast("long")), order, number)
 
 
 def delete(cells: DataFrame, keys: DataFrame, ts: int) -> DataFrame:
@@ -256,12 +271,22 @@ def prune_versions(
     return out
 
 
-def increment(cells: DataFrame, deltas: DataFrame, ts: int) -> DataFrame:
-    """Counter columns after adding all ``delta`` rows: the new cells, one per counter touched."""
+def increment(cells: DataFrame, deltas: DataFrame, ts: int, skip_bad: bool = False) -> DataFrame:
+    """Counter columns after adding all ``delta`` rows: the new cells, one per counter touched.
+
+    A value that is no whole number is no counter: the job fails, or with ``skip_bad`` such cells are
+    left as they are and out of the result.
+    """
     added = deltas.groupBy(*COLUMN).agg(F.sum("delta").alias("_d"))
     now = latest(cells.join(added.select(*COLUMN), COLUMN, "left_semi").unionByName(_scope_deletes(cells)))
-    old = F.coalesce(F.col("value").try_cast("long"), F.lit(0))
-    return added.join(now.drop("ts"), COLUMN, "left").select(
+    joined = added.join(now.drop("ts"), COLUMN, "left")
+    old = F.when(F.col("value").isNull(), F.lit(0).cast("long")).otherwise(F.col("value").try_cast("long"))
+    if skip_bad:
+        joined = joined.filter(old.isNotNull())
+    else:
+        refused = F.raise_error(F.concat(F.lit("no counter: "), F.col("value"))).cast("long")
+        old = F.when(old.isNull(), refused).otherwise(old)
+    return joined.select(
         *COLUMN, F.lit(ts).cast("long").alias("ts"), (old + F.col("_d")).cast("string").alias("value")
     )
 
@@ -271,25 +296,45 @@ def _scope_deletes(cells: DataFrame) -> DataFrame:
     return cells.filter(F.col("is_delete") & F.col("qualifier").isNull())
 
 
-def append_values(cells: DataFrame, texts: DataFrame, ts: int) -> DataFrame:
-    """Cells with ``text`` appended to the current value (at most one text per column)."""
-    now = latest(cells).drop("ts")
-    return texts.join(now, COLUMN, "left").select(
+def _of_rows(cells: DataFrame, batch: DataFrame) -> DataFrame:
+    """The cells of the rows a batch names, so that no other row is resolved."""
+    return cells.join(batch.select("row").distinct(), "row", "left_semi")
+
+
+def append_values(cells: DataFrame, texts: DataFrame, ts: int, order: str | None = None) -> DataFrame:
+    """Cells with all their ``text`` appended to the current value, in the order of column ``order``.
+
+    Without ``order`` two texts for one column are refused.
+    """
+    if order is None:
+        joined = _alone(texts.select(*COLUMN, "text"), COLUMN)
+    else:
+        ordered = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("text").alias("text"))))
+        joined = texts.groupBy(*COLUMN).agg(F.array_join(ordered["text"], "").alias("text"))
+    now = latest(_of_rows(cells, texts)).drop("ts")
+    return joined.join(now, COLUMN, "left").select(
         *COLUMN,
         F.lit(ts).cast("long").alias("ts"),
         F.concat(F.coalesce("value", F.lit("")), F.col("text")).alias("value"),
     )
 
 
-def check_and_put(cells: DataFrame, attempts: DataFrame) -> DataFrame:
+def check_and_put(cells: DataFrame, attempts: DataFrame, order: str | None = None) -> DataFrame:
     """For each attempt (row, family, qualifier, expected, value): whether its check passed.
 
-    A null ``expected`` passes only when the column is absent.  Feed the passing rows to ``put``.
+    A null ``expected`` passes only when the column is absent.  Of several attempts on one cell the
+    first by column ``order`` that fits the value passes, and no other; without ``order`` they are
+    refused.  Feed the passing rows to ``put``.
     """
-    now = latest(cells).select(*COLUMN, F.col("value").alias("current"))
-    return attempts.join(now, COLUMN, "left").withColumn(
-        "passed", F.col("expected").eqNullSafe(F.col("current"))
-    )
+    if order is None:
+        attempts = _alone(attempts, COLUMN).withColumn("_order", F.lit(0))
+    else:
+        attempts = attempts.withColumn("_order", F.col(order))
+    now = latest(_of_rows(cells, attempts)).select(*COLUMN, F.col("value").alias("current"))
+    fits = attempts.join(now, COLUMN, "left").withColumn("_fits", F.col("expected").eqNullSafe(F.col("current")))
+    first = Window.partitionBy(*COLUMN, "_fits").orderBy("_order")
+    ranked = fits.withColumn("passed", F.col("_fits") & (F.row_number().over(first) == 1))
+    return ranked.drop("_order", "_fits")
 
 
 # --- wide tables -----------------------------------------------------------------------------

@@ -4,17 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def partition_profile(df: DataFrame) -> DataFrame:
-    """Row count per non-empty partition."""
-    return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("n"))
+    """(partition, n): rows of every partition, empty ones too."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = sum(batch.num_rows for batch in batches)
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())], ["partition", "n"])
+
+    return df.select(F.lit(True).alias("one")).mapInArrow(count, "partition int, n long")
+
+
+def partition_members(df: DataFrame, column: str, separator: str = ", ") -> DataFrame:
+    """(partition, n, members): each partition's values of ``column`` as one text, empty ones too."""
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, out = 0, []
+        for batch in batches:
+            out += [str(v) for v in batch.column(0).to_pylist()]
+            n += batch.num_rows
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64()), pa.array([separator.join(out)])],
+            ["partition", "n", "members"],
+        )
+
+    return df.select(column).mapInArrow(join, "partition int, n long, members string")
 
 
 def map_partitions(df: DataFrame, fn: Callable[[Iterator], Iterator], schema: str) -> DataFrame:
-    """Arrow batches of each partition through ``fn``; batches stay bounded in size."""
+    """All Arrow batches of a partition through one call of ``fn``; batches stay bounded in size."""
     return df.mapInArrow(fn, schema)
 
 

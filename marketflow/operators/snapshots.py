@@ -1,9 +1,9 @@
 """Versioned tables on plain Parquet: every change is a new version, old versions stay readable.
 
-Layout below ``path``: ``data/<id>`` folders that never change once written, and ``history`` with
-one small JSON row per version naming the folders that make it up.  Data is written before its
+Layout below ``path``: ``data/vt_commit=<id>`` folders that never change once written, and ``history`` with
+one small JSON row per version naming the folders and files that make it up.  Data is written before its
 history row, so a failed job leaves the current version as it was.  An insert adds a folder; an
-update or delete rewrites only the folders that hold a matching row.  One writer at a time.
+update or delete rewrites only the files that hold a matching row.  One writer at a time.
 """
 
 from __future__ import annotations
@@ -12,11 +12,15 @@ import json
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: The partition column of a commit's folder; not among the table's columns.
+COMMIT = "vt_commit"
+
 HISTORY = (
     "version long, committed_at timestamp, operation string, parameters string, "
     "folders array<string>, table_schema string, partition_by array<string>"
@@ -47,7 +51,7 @@ def _entry(spark: SparkSession, path: str, version: int | None = None, as_of=Non
 
 
 def _write(df: DataFrame, path: str, partition_by: Sequence[str]) -> str:
-    folder = f"data/{uuid.uuid4().hex}"
+    folder = f"data/{COMMIT}={uuid.uuid4().hex}"
     if partition_by:
         # Few, even files per directory; adaptive execution splits a hot one.
         df = df.hint("rebalance", *partition_by)
@@ -72,39 +76,57 @@ def vt_create(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int
     )
 
 
-def _read_folders(spark, path, entry, folders) -> DataFrame:
+def _read_parts(spark, path, entry, parts) -> DataFrame:
+    """One scan over all parts; a part is a data folder or a single file in one."""
     schema = T.StructType.fromJson(json.loads(entry.table_schema))
-    if not folders:
+    if not parts:
         return spark.createDataFrame([], schema)
-    parts = [spark.read.schema(schema).parquet(f"{path}/{f}") for f in folders]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(*schema.names)
+    # the commit's folder is a partition like the others, so that all parts have one structure
+    found = T.StructType([*schema.fields, T.StructField(COMMIT, T.StringType())])
+    reader = spark.read.schema(found).option("basePath", f"{path}/data")
+    return reader.parquet(*[f"{path}/{p}" for p in parts]).select(*schema.names)
 
 
 def vt_read(spark: SparkSession, path: str, version: int | None = None, as_of=None) -> DataFrame:
     """The current version, a numbered one, or the newest committed at or before ``as_of``."""
     entry = _entry(spark, path, version, as_of)
-    return _read_folders(spark, path, entry, entry.folders)
+    return _read_parts(spark, path, entry, entry.folders)
 
 
 def vt_history(spark: SparkSession, path: str) -> DataFrame:
     return _history(spark, path).select("version", "committed_at", "operation", "parameters")
 
 
+def _below(path: str, uri: str) -> str:
+    """A file's place below the table, from the URI that Spark reports."""
+    return unquote(uri)[unquote(uri).rindex("/data/") + 1 :]
+
+
+def _without_matches(spark, path, entry, where: Column) -> tuple[list[str], list[str]]:
+    """(parts without, files with) a matching row, found by one job over the whole version.
+
+    A folder stays one part as long as none of its files has a match.
+    """
+    rows = _read_parts(spark, path, entry, entry.folders)
+    if not entry.folders:
+        return [], []
+    hits = rows.where(where).select(F.col("_metadata.file_path").alias("f")).distinct().collect()
+    touched = {_below(path, r.f) for r in hits}
+    files = [_below(path, f) for f in rows.inputFiles()] if touched else []
+    parts = []
+    for part in entry.folders:
+        own = [f for f in files if f == part or f.startswith(f"{part}/")]
+        parts += [part] if touched.isdisjoint(own) else [f for f in own if f not in touched]
+    return parts, sorted(touched)
+
+
 def _rewrite(spark, path, where: Column, change, operation: str, parameters: dict) -> int:
     entry = _entry(spark, path)
-    folders = []
-    for folder in entry.folders:
-        rows = _read_folders(spark, path, entry, [folder])
-        # Folders are one per earlier change, so this is a short list of "any match?" probes.
-        if rows.filter(where).limit(1).count() == 0:
-            folders.append(folder)
-        else:
-            folders.append(_write(change(rows), path, entry.partition_by))
+    parts, touched = _without_matches(spark, path, entry, where)
+    if touched:
+        parts.append(_write(change(_read_parts(spark, path, entry, touched)), path, entry.partition_by))
     return _commit(
-        spark, path, entry.version + 1, operation, parameters, folders, entry.table_schema, entry.partition_by
+        spark, path, entry.version + 1, operation, parameters, parts, entry.table_schema, entry.partition_by
     )
 
 
@@ -156,10 +178,20 @@ def vt_merge_insert(
     return _append(spark, path, source.join(target, match, "left_anti"), "MERGE", {"keys": list(keys)})
 
 
-def vt_restore(spark: SparkSession, path: str, version: int, where: str, keys: Sequence[str]) -> int:
-    """Bring back rows matching ``where`` from an old version, unless their keys exist now."""
-    old = vt_read(spark, path, version=version).filter(_predicate(where))
-    return vt_merge_insert(spark, path, old, keys)
+def vt_restore(spark: SparkSession, path: str, version: int, where: str) -> int:
+    """The rows matching ``where`` become those of an old version: one commit takes out the present
+    ones and adds the old ones."""
+    hit, entry = _predicate(where), _entry(spark, path)
+    old = vt_read(spark, path, version=version).filter(hit)
+    parts, touched = _without_matches(spark, path, entry, hit)
+    if touched:
+        rest = _read_parts(spark, path, entry, touched).filter(~hit)
+        parts.append(_write(rest, path, entry.partition_by))
+    parts.append(_write(old, path, entry.partition_by))
+    return _commit(
+        spark, path, entry.version + 1, "RESTORE", {"predicate": where, "version": version}, parts,
+        entry.table_schema, entry.partition_by,
+    )
 
 
 def vt_diff_counts(spark: SparkSession, path: str, v1: int, v2: int, key: str) -> DataFrame:

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,24 +28,44 @@ CM_BHAV_SCHEMA = (
 def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """One row per text line.
 
-    ``min_partitions`` spreads the lines evenly over that many partitions.  It is meant for gzip
-    files, which cannot be split; plain files are already split by size, without a shuffle.
+    ``min_partitions`` spreads the lines over that many partitions when the files are split into
+    fewer.  It is meant for gzip files, which cannot be split; plain files are already split by size.
     """
     lines = spark.read.text(path)
-    if min_partitions is None:
+    if min_partitions is None or lines.rdd.getNumPartitions() >= min_partitions:
         return lines
     return lines.repartition(min_partitions)
 
 
 def read_lines_with_offset(spark: SparkSession, path: str) -> DataFrame:
-    """(byte offset, line) through Hadoop's text input format, the one reader that keeps offsets."""
-    pairs = spark.sparkContext.newAPIHadoopFile(
-        path,
-        "org.apache.hadoop.mapreduce.lib.input.TextInputFormat",
-        "org.apache.hadoop.io.LongWritable",
-        "org.apache.hadoop.io.Text",
+    """(file, byte offset, line) of uncompressed text files.
+
+    A line belongs to the split it begins in, so a line's offset is the length of all lines in the
+    file's earlier splits, one row per split, plus that of the lines before it in its own split.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+    )
+    size = F.octet_length("value") + F.lit(1)
+    splits = lines.groupBy("file", "block").agg(F.sum(size).alias("size"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    begins = splits.select("file", "block", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("begin"))
+
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, place = 0, None
+        for batch in batches:
+            sizes = pc.add(pc.cast(pc.binary_length(batch.column(0)), pa.int64()), 1).to_pylist()
+            offsets = []
+            for n, here in zip(sizes, zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+                at, place = (at, place) if here == place else (0, here)
+                offsets.append(at)
+                at += n
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(offsets, pa.int64())], ["value", "file", "block", "at"])
+
+    placed = lines.mapInArrow(inside, "value string, file string, block long, at long")
+    return placed.join(begins, ["file", "block"]).select(
+        "file", (F.col("begin") + F.col("at")).alias("offset"), F.rtrim("value", F.lit("\r")).alias("line")
     )
-    return spark.createDataFrame(pairs, "offset long, line string")
 
 
 def read_csv(

@@ -63,17 +63,18 @@ def spread_by(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 
 def overwrite_partitions(df: DataFrame, name: str) -> None:
-    """Replace only the partitions of ``name`` that occur in ``df``; columns are matched by name."""
+    """Replace only the partitions of ``name`` that occur in ``df``; columns are matched by name.
+
+    The mode is the writer's own option, so other writers of the session are not disturbed.
+    """
     spark = df.sparkSession
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
     by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {name}").collect()}
     rows = spread_by(df.select(*spark.table(name).columns), by)
-    spark.conf.set(key, "dynamic")
-    try:
-        rows.write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(key, before)
+    writer = rows.write.format(facts["Provider"]).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*by).save(facts["Location"])
+    spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
 
 
 def insert_rows(spark: SparkSession, name: str, rows: Sequence[tuple]) -> None:

@@ -35,8 +35,8 @@ def record_stream(
             .select("key", "value", "timestamp")
         )
     reader = spark.readStream.schema(RECORD_SCHEMA)
-    if start == "latest":
-        reader = reader.option("latestFirst", True)
+    if start != "earliest":
+        raise ValueError("a folder is read from its first file on; only topics can start at their latest record")
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(path)

@@ -286,7 +286,7 @@ def _(t):
     def digits(v: pd.Series) -> pd.Series:
         from row_helpers import month_digits
 
-        return v.map(month_digits)
+        return month_digits(v)
 
     text = F.upper(F.date_format("o_orderdate", "dd-MMM-yyyy"))
     return t.orders.select("o_orderkey", digits(text).alias("mm"))

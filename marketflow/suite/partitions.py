@@ -2,36 +2,42 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from marketflow.operators import partitions as P
+from marketflow.session import stored
 from marketflow.suite.registry import query
 
 
-@query("pt_02_partition_profile", "SELECT 8::BIGINT AS partitions, count(*) AS n FROM lineitem")
+@query("pt_02_partition_profile", "SELECT 8::BIGINT AS partitions, 5::BIGINT AS empty, count(*) AS n FROM lineitem")
 def _(t):
-    profile = P.partition_profile(t.lineitem.repartition(8, "l_orderkey"))
-    return profile.agg(F.count(F.lit(1)).alias("partitions"), F.sum("n").alias("n"))
+    # Three flags over eight partitions: five stay empty.
+    place = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 4).otherwise(6)
+    profile = P.partition_profile(P.partition_by(t.lineitem, place, 8))
+    return profile.agg(
+        F.count(F.lit(1)).alias("partitions"), F.count_if(F.col("n") == 0).alias("empty"), F.sum("n").alias("n")
+    )
 
 
-@query("pt_03_map_partitions", "SELECT sum(length(o_orderpriority))::BIGINT AS chars, count(*) AS n FROM orders")
+@query(
+    "pt_03_map_partitions",
+    "SELECT s.p AS partition, count(o_orderkey) AS n, coalesce(sum(length(o_orderpriority)), 0)::BIGINT AS chars FROM "
+    "(VALUES (0::INTEGER, 'F'), (1, 'O'), (2, 'P'), (3, '-')) s(p, status) LEFT JOIN orders ON o_orderstatus = status GROUP BY 1",
+)
 def _(t):
-    # Each Arrow batch becomes one text of its members; batches stay small however large a partition is.
-    def join_members(batches):
-        for batch in batches:
-            members = batch.column(0).to_pylist()
-            yield pa.RecordBatch.from_pydict({"joined": [", ".join(members)], "n": [len(members)]})
-
-    joined = P.map_partitions(t.orders.select("o_orderpriority"), join_members, "joined string, n long")
-    chars = F.length("joined") - 2 * (F.col("n") - 1)
-    return joined.agg(F.sum(chars).cast("bigint").alias("chars"), F.sum("n").alias("n"))
+    # One text for each partition, however many batches it has; the last partition is empty.
+    place = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
+    joined = P.partition_members(P.partition_by(t.orders, place, 4), "o_orderpriority")
+    chars = F.length("members") - 2 * F.greatest(F.col("n") - 1, F.lit(0))
+    return joined.select("partition", "n", chars.cast("bigint").alias("chars"))
 
 
 @query("pt_04_coalesce", "SELECT l_returnflag, sum(l_quantity) AS total FROM lineitem GROUP BY 1")
 def _(t):
-    return t.lineitem.repartition(4).coalesce(2).groupBy("l_returnflag").agg(F.sum("l_quantity").alias("total"))
+    # Half as many tasks as the shuffle made, without another shuffle.
+    n = 2 * t.spark.sparkContext.defaultParallelism
+    return t.lineitem.repartition(n).coalesce(n // 2).groupBy("l_returnflag").agg(F.sum("l_quantity").alias("total"))
 
 
 @query(
@@ -43,7 +49,13 @@ def _(t):
     return P.partition_profile(P.partition_by(t.customer, side, 2))
 
 
-@query("pt_07_persist", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+@query(
+    "pt_07_persist",
+    "SELECT event_type, count(*) AS n, 'Disk Serialized 1x Replicated' AS level, true AS released FROM events GROUP BY 1",
+)
 def _(t):
     kept = t.events.select("event_type").persist(StorageLevel.DISK_ONLY)
-    return kept.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    level = str(kept.storageLevel)
+    counted = stored(kept.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")))
+    kept.unpersist()
+    return counted.withColumns({"level": F.lit(level), "released": F.lit(kept.storageLevel == StorageLevel.NONE)})

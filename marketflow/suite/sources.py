@@ -39,18 +39,18 @@ def _(t):
 
 @query(
     "src_03_read_lines_with_offset",
-    "SELECT sum(strlen(text) + 1)::BIGINT AS bytes, count(*) AS docs FROM documents",
+    "SELECT o_orderstatus AS status, o_orderkey || ' ' || o_orderpriority AS line, (sum(strlen(o_orderkey || ' ' || "
+    "o_orderpriority) + 1) OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - strlen(o_orderkey || ' ' || "
+    "o_orderpriority) - 1)::BIGINT AS \"offset\" FROM orders",
 )
 def _(t):
-    # The offset of the last line plus its length is the file's size, added up over files.
+    # One file per status, its lines in key order.
     path = scratch_path(t.spark, "text")
-    t.documents.select(F.concat("text", F.lit("\n#"))).write.text(path)
-    lines = R.read_lines_with_offset(t.spark, path)
-    ends = lines.agg(
-        F.sum(F.octet_length("line") + 1).cast("bigint").alias("all"),
-        F.count_if(F.col("line") == "#").alias("docs"),
-    )
-    return ends.select((F.col("all") - 2 * F.col("docs")).alias("bytes"), "docs")
+    line = F.concat_ws(" ", "o_orderkey", "o_orderpriority").alias("value")
+    rows = t.orders.repartition("o_orderstatus").sortWithinPartitions("o_orderstatus", "o_orderkey")
+    rows.select("o_orderstatus", line).write.partitionBy("o_orderstatus").text(path)
+    status = F.regexp_extract("file", "o_orderstatus=([^/]+)/", 1).alias("status")
+    return R.read_lines_with_offset(t.spark, path).select(status, "line", "offset")
 
 
 _ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority"

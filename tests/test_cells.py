@@ -93,15 +93,43 @@ def test_increment_and_append(spark):
     assert minus.first().value == "2"
     text = spark.createDataFrame([("k", "f", "n", "!"), ("z", "f", "n", "a")], ddl.replace("delta long", "text string"))
     assert rows(C.append_values(cells, text, 9), "row", "value") == [("k", "3!"), ("z", "a")]
+    two = text.withColumn("n", F.lit(2)).unionByName(text.withColumns({"n": F.lit(1), "text": F.lit("-")}))
+    assert rows(C.append_values(cells, two, 9, order="n"), "row", "value") == [("k", "3-!"), ("z", "-a")]
+    with pytest.raises(Exception, match="order column"):
+        C.append_values(cells, two, 9).collect()
+
+
+def test_values_that_are_no_counters(spark):
+    cells = table(spark, [("k", "f", "n", 1, "12.5"), ("k", "f", "m", 1, "4")])
+    ddl = "row string, family string, qualifier string, delta long"
+    one = spark.createDataFrame([("k", "f", "n", 1), ("k", "f", "m", 1)], ddl)
+    with pytest.raises(Exception, match="no counter"):
+        C.increment(cells, one, 2).collect()
+    assert rows(C.increment(cells, one, 2, skip_bad=True), "qualifier", "value") == [("m", "5")]
+
+
+def test_puts_of_one_batch_keep_their_order(spark):
+    ddl = "row string, family string, qualifier string, value string, n int"
+    batch = spark.createDataFrame([("r", "f", "q", f"v{i}", i) for i in range(10)], ddl).repartition(7)
+    empty = spark.createDataFrame([], C.SCHEMA)
+    first = C.mutate(empty, batch, 5, order="n")
+    assert rows(C.latest(first), "value") == [("v9",)]
+    again = C.mutate(first, batch.filter("n = 0"), 5, number=1)
+    assert rows(C.latest(again), "value") == [("v0",)]
+    with pytest.raises(Exception, match="order column"):
+        C.mutate(empty, batch, 5).collect()
 
 
 def test_check_and_put(spark):
     cells = table(spark, [("r", "f", "q", 1, "v")])
-    ddl = "row string, family string, qualifier string, expected string, value string"
+    ddl = "row string, family string, qualifier string, expected string, value string, n int"
     tries = spark.createDataFrame(
-        [("r", "f", "q", "v", "1"), ("r", "f", "z", None, "2"), ("r", "f", "q", None, "3"), ("x", "f", "q", "v", "4")], ddl
-    )
-    assert rows(C.check_and_put(cells, tries).filter("passed"), "value") == [("1",), ("2",)]
+        [("r", "f", "q", "v", "1", 2), ("r", "f", "z", None, "2", 2), ("r", "f", "z", None, "5", 1), ("r", "f", "q", None, "3", 1),
+         ("x", "f", "q", "v", "4", 1)], ddl
+    )
+    assert rows(C.check_and_put(cells, tries, order="n").filter("passed"), "value") == [("1",), ("5",)]
+    with pytest.raises(Exception, match="order column"):
+        C.check_and_put(cells, tries).collect()
 
 
 def test_prune(spark):

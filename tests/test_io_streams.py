@@ -4,6 +4,7 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
+from marketflow.operators import partitions as P
 from marketflow.operators import snapshots as V
 from marketflow.session import scratch_path
 from marketflow.sources import files as R
@@ -76,10 +77,10 @@ def test_snapshot_history(spark):
     V.vt_delete(spark, path, "symbol = 'ITC'")
     assert rows(V.vt_read(spark, path)) == [("ACC", 1), ("ACCEMENT", 1), (None, 3)]
     assert rows(V.vt_read(spark, path, version=0)) == rows(df)
-    V.vt_restore(spark, path, 2, "symbol = 'ITC'", ["symbol", "n"])
+    V.vt_restore(spark, path, 2, "symbol = 'ITC'")
     assert V.vt_read(spark, path).filter("symbol = 'ITC'").count() == 1
     ops = [r.operation for r in V.vt_history(spark, path).orderBy("version").collect()]
-    assert ops == ["CREATE", "UPDATE", "INSERT", "DELETE", "MERGE"]
+    assert ops == ["CREATE", "UPDATE", "INSERT", "DELETE", "RESTORE"]
     assert rows(V.vt_diff_counts(spark, path, 0, 1, "symbol")) == [("ACC", 1, 0), ("ACCEMENT", 0, 1), ("ITC", 1, 1), (None, 1, 1)]
     with pytest.raises(ValueError):
         V.vt_read(spark, path, version=99)
@@ -162,6 +163,47 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
         scratch_path(Session(), "x")
 
 
+def test_small_change_leaves_other_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows_ = spark.range(1000).selectExpr("id", "id % 3 as part", "'x' as v").repartitionByRange(4, "id")
+    V.vt_create(rows_, path, ["part"])
+    before = set(V.vt_read(spark, path).inputFiles())
+    V.vt_update(spark, path, {"v": "'y'"}, "id = 5")
+    after = set(V.vt_read(spark, path).inputFiles())
+    assert len(before - after) == 1 and len(after - before) >= 1
+    assert V.vt_read(spark, path).filter("v = 'y'").count() == 1
+    V.vt_restore(spark, path, 0, "id < 10")
+    for i in range(8):
+        V.vt_insert(spark, path, spark.createDataFrame([(2000 + i, 1, "z")], "id long, part long, v string"))
+    now = V.vt_read(spark, path)
+    assert now.count() == 1008 and now.filter("v = 'y'").count() == 0
+    assert plan(now).count("FileScan") == 1
+
+
+def test_partitions_without_rows(spark):
+    got = rows(P.partition_profile(P.partition_by(spark.range(10), F.lit(2), 4)))
+    assert got == [(0, 0), (1, 0), (2, 10), (3, 0)]
+    with pytest.raises(ValueError):
+        SS.record_stream(spark, "/nowhere", start="latest")
+
+
+def test_offsets_across_splits(spark, tmp_path):
+    lines = [f"line {i} " + "é" * (i % 50) for i in range(3000)]
+    path = tmp_path / "a.txt"
+    path.write_text("\n".join(lines) + "\n", newline="")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = rows(R.read_lines_with_offset(spark, str(path)), "offset", "line")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    at, want = 0, []
+    for line in lines:
+        want.append((at, line))
+        at += len(line.encode()) + 1
+    assert got == sorted(want, key=repr)
+
+
 def test_no_row_at_a_time_python_in_plans(spark, sf_dir):
     import __spark_entry__ as entry
 
