@@ -94,25 +94,27 @@ def pivot_sum(
     return df.groupBy(*keys).agg(*sums)
 
 
+def member_positions(df: DataFrame, keys: Sequence[str], value: str | Column, order: Sequence[str]) -> DataFrame:
+    """(keys, position, member): every member of every group with its place in ``order``, from 1."""
+    value = F.col(value) if isinstance(value, str) else value
+    numbered = row_numbers(df.withColumn("member", value), keys, order, "position")
+    return numbered.select(*keys, "position", "member")
+
+
 def group_members(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str | Column,
-    order: Sequence[str],
-    part_rows: int = 10_000,
+    df: DataFrame, keys: Sequence[str], value: str | Column, order: Sequence[str], page_rows: int = 10_000
 ) -> DataFrame:
-    """Members of each group in ``order``, in arrays of at most ``part_rows``.
+    """Pages of each group's members in ``order``: (keys, page from 0, array of up to ``page_rows``).
 
-    A group that fits has one row with ``part = 0``; a larger one has several, so no array and no
-    task ever holds an unbounded group.
+    All groups are paged alike, whatever their size, so no array holds an unbounded group.
+    :func:`member_positions` has the same without pages.
     """
-    value = F.col(value) if isinstance(value, str) else value
-    numbered = row_numbers(df.withColumn("_value", value), keys, order, "_rn")
-    part = F.floor((F.col("_rn") - 1) / part_rows).alias("part")
-    packed = numbered.groupBy(*keys, part).agg(
-        F.array_sort(F.collect_list(F.struct("_rn", "_value"))).alias("_packed")
+    members = member_positions(df, keys, value, order)
+    page = F.floor((F.col("position") - 1) / page_rows).alias("page")
+    packed = members.groupBy(*keys, page).agg(
+        F.array_sort(F.collect_list(F.struct("position", "member"))).alias("_packed")
     )
-    return packed.select(*keys, "part", F.col("_packed._value").alias("members"))
+    return packed.select(*keys, "page", F.col("_packed.member").alias("members"))
 
 
 def price_band(df: DataFrame) -> DataFrame:

@@ -177,18 +177,17 @@ def scan(cells: DataFrame, spec: ScanSpec | None = None, **options) -> DataFrame
     return found.orderBy(row, "family", "qualifier", F.desc("ts"))
 
 
-def as_row_maps(cells: DataFrame, part_cells: int = 10_000) -> DataFrame:
-    """Each row as a map ``family:qualifier -> (value, ts)``.
+def as_row_maps(cells: DataFrame, page_cells: int = 10_000) -> DataFrame:
+    """Each row as maps ``family:qualifier -> (value, ts)``, in pages of ``page_cells`` from page 0.
 
-    A row wider than ``part_cells`` has several maps, numbered by ``part``.  The resolved cells are
-    stored first, because finding wide rows reads them more than once.
+    The resolved cells are stored first, because numbering them reads them more than once.
     """
     entry = F.struct(
         F.concat_ws(":", "family", "qualifier").alias("key"),
         F.struct("value", "ts").alias("value"),
     )
-    packed = group_members(stored(latest(cells)), ["row"], entry, ["family", "qualifier"], part_cells)
-    return packed.select("row", "part", F.map_from_entries("members").alias("cells"))
+    packed = group_members(stored(latest(cells)), ["row"], entry, ["family", "qualifier"], page_cells)
+    return packed.select("row", "page", F.map_from_entries("members").alias("cells"))
 
 
 def count_rows(cells: DataFrame) -> DataFrame:

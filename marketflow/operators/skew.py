@@ -20,7 +20,11 @@ from pyspark.sql import types as T
 # to tasks comes out even.
 RANGES_PER_TASK = 4
 ROWS_PER_CUT = 12
-MAX_RANGES = 8192
+#: Rows that one task should take; with it the table's own size decides which key is hot.
+ROWS_PER_TASK = 1_000_000
+#: Bounds what is sampled to the driver (ROWS_PER_CUT narrow rows each) and broadcast (one cut each).
+#: Beyond MAX_RANGES * ROWS_PER_TASK / RANGES_PER_TASK rows ranges grow instead; no row is left out.
+MAX_RANGES = 65_536
 
 
 @dataclass
@@ -80,18 +84,19 @@ def find_hot_keys(
 ) -> HotKeys | None:
     """Keys larger than one and a half average tasks, or None when there are none.
 
-    ``tasks`` defaults to the session's shuffle partition count.  Two narrow jobs run: a row count,
-    and a row-wise sample of about ``ROWS_PER_CUT`` rows per range, so what reaches the driver
-    depends on the partition count and not on the data.  With no ``keys`` the whole table is one
-    group.
+    ``tasks`` defaults to as many as the rows need at ``ROWS_PER_TASK`` each, whatever the session's
+    settings are.  Two narrow jobs run: a row count, and a row-wise sample of about ``ROWS_PER_CUT``
+    rows per range.  With no ``keys`` the whole table is one group.
     """
     spark = df.sparkSession
-    if tasks is None:
-        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(2, min(tasks * RANGES_PER_TASK, MAX_RANGES))
     total = df.count()
     if total == 0:
         return None
+    if tasks is None:
+        tasks = -(-total // ROWS_PER_TASK)
+        if keys and tasks == 1:
+            return None  # no key can be larger than a task
+    ranges = max(2, min(tasks * RANGES_PER_TASK, MAX_RANGES))
     named = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]
     ordered = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)]).alias("_at")
     fraction = min(1.0, ranges * ROWS_PER_CUT / total)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marketflow.operators.skew import find_hot_keys
+from marketflow.operators.skew import ROWS_PER_TASK, find_hot_keys
 
 BLOCK_ROWS = 65_536
 
@@ -232,16 +232,19 @@ def lagged(
 
 
 def top_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, skip: int = 0, salts: int = 64
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, skip: int = 0
 ) -> DataFrame:
     """Rows ``skip+1 .. n`` of each key in the given order.
 
     Catalyst cuts each map task to n rows per key before the shuffle while n is small
-    (``WindowGroupLimit``).  Beyond its threshold a salted first pass does the same job.
+    (``WindowGroupLimit``).  Beyond its threshold a salted first pass does the same job: every row,
+    equal ones too, goes to one of as many salts as leave about ``ROWS_PER_TASK`` rows to the last
+    pass.  With n near that size there is nothing to gain, and one pass does.
     """
     threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n > threshold:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
+    salts = ROWS_PER_TASK // n if n else 0
+    if n > threshold and salts > 1:
+        salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts))
         first = W.partitionBy(*keys, "_salt").orderBy(*order)
         df = (
             df.withColumn("_salt", salt)

@@ -9,13 +9,11 @@ from marketflow.functions.dates import parse_apache_time
 from marketflow.functions.numbers import safe_divide
 
 # Fixed value: the common log format as nine groups.  (?U) gives \s and \w their Unicode meaning.
-LOG_LINE = (
-    r"(?U)^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] "
-    r'"(\S+) (\S+)\s*(\S*)\s*" (\d{3}) (\S+)'
-)
+LOG_LINE = r'''(?U)^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] "(\S+) (\S+)\s*(\S*)\s*" (\d{3}) (\S+)'''
 
 GROUPS = "\n".join(f"${i}" for i in range(1, 10))
 
+# The names of the nine groups.
 FIELDS = [
     "host", "client_identd", "user_id", "date_time", "method",
     "endpoint", "protocol", "response_code", "content_size",

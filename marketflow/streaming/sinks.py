@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from marketflow.session import scratch_path
 
@@ -30,6 +31,38 @@ def start_sink(
     return writer.start()
 
 
+class ProgressLog(StreamingQueryListener):
+    """Keeps the progress of every micro-batch of one query, however many there are."""
+
+    def __init__(self) -> None:
+        self.rows: list[dict] = []
+        self.ended = threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.rows.append(json.loads(event.progress.json))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.set()
+
+
+def run_logged(df: DataFrame) -> tuple[DataFrame, StreamingQuery, list[dict]]:
+    """As :func:`run_append`, with the progress of all batches."""
+    log, streams = ProgressLog(), df.sparkSession.streams
+    streams.addListener(log)
+    try:
+        data, query = run_append(df)
+        log.ended.wait(60)
+    finally:
+        streams.removeListener(log)
+    return data, query, [r for r in log.rows if r["runId"] == str(query.runId)]
+
+
 def run_append(df: DataFrame) -> tuple[DataFrame, StreamingQuery]:
     """Run a stream over what is available now; append mode, Parquet files in the shared folder."""
     spark = df.sparkSession
@@ -64,7 +97,8 @@ def run_complete(df: DataFrame) -> DataFrame:
     """Complete mode: the result table after the last batch."""
     spark, path = _run_batches(df, "complete")
     batches = spark.read.parquet(path)
-    last = batches.agg(F.max("batch").alias("b")).select("b").scalar()
+    # the batch is a partition: only its newest folder is read
+    last = max(int(f.rsplit("/batch=", 1)[1].split("/")[0]) for f in batches.inputFiles())
     return batches.filter(F.col("batch") == last).drop("batch")
 
 
@@ -78,12 +112,15 @@ def run_update(df: DataFrame, keys: list[str]) -> DataFrame:
     return newest.select(*keys, "_row.*")
 
 
-def progress_frame(query: StreamingQuery) -> DataFrame:
-    """One row per recent micro-batch of a query: ids, name, rows, and error text if it failed."""
+def progress_frame(query: StreamingQuery, progress: list[dict] | None = None) -> DataFrame:
+    """One row per micro-batch: ids, name, rows, and error text if the query failed.
+
+    ``progress`` holds all batches (:func:`run_logged`); without it Spark's recent ones are shown.
+    """
     spark = query.sparkSession if hasattr(query, "sparkSession") else SparkSession.active()
     failed = query.exception()
     rows = []
-    for p in query.recentProgress:
+    for p in query.recentProgress if progress is None else progress:
         p = p if isinstance(p, dict) else json.loads(p.json)
         rows.append((p["id"], p["runId"], p.get("name"), p["batchId"], p["numInputRows"], str(failed) if failed else None))
     return spark.createDataFrame(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketflow.operators import aggregates as A
-from marketflow.plans.stocks import stock_cube, stock_grouping_sets, stock_rollup, with_month
+from marketflow.plans.stocks import totals, with_month
 from marketflow.suite.derived import FO, fo_bhav
 from marketflow.suite.registry import query
 
@@ -61,19 +61,12 @@ def _(t):
 
 @query(
     "ag_06_group_members",
-    "SELECT parity, part, string_agg(event_id::VARCHAR, ',' ORDER BY event_id) AS members, count(*) AS n FROM "
-    "(SELECT parity, event_id, (row_number() OVER (PARTITION BY parity ORDER BY event_id) - 1) // 1000 AS part FROM "
-    "(SELECT event_id % 2 AS parity, event_id FROM events)) GROUP BY parity, part",
+    "SELECT event_id % 2 AS parity, row_number() OVER (PARTITION BY event_id % 2 ORDER BY event_id) AS position, "
+    "event_id AS member FROM events",
 )
 def _(t):
     rows = t.events.select((F.col("event_id") % 2).alias("parity"), "event_id")
-    members = A.group_members(rows, ["parity"], "event_id", ["event_id"], part_rows=1000)
-    return members.select(
-        "parity",
-        "part",
-        F.array_join(F.transform("members", lambda m: m.cast("string")), ",").alias("members"),
-        F.size("members").cast("bigint").alias("n"),
-    )
+    return A.member_positions(rows, ["parity"], "event_id", ["event_id"])
 
 
 @query("ag_07_reduce_by_key", "SELECT l_suppkey AS k, sum(l_quantity) AS v FROM lineitem GROUP BY 1")
@@ -205,24 +198,27 @@ def _(t):
     "ag_19_cube", f"WITH {MONTHLY} SELECT symbol, yr, mnth, {_SUMS} FROM m GROUP BY CUBE (symbol, yr, mnth)"
 )
 def _(t):
-    return _rounded(stock_cube(_monthly(t)))
+    return _rounded(totals(_monthly(t), "cube"))
 
 
 @query(
     "ag_20_rollup", f"WITH {MONTHLY} SELECT symbol, yr, mnth, {_SUMS} FROM m GROUP BY ROLLUP (symbol, yr, mnth)"
 )
 def _(t):
-    return _rounded(stock_rollup(_monthly(t)))
+    return _rounded(totals(_monthly(t), "rollup"))
 
 
 @query(
-    "ag_21_cube_sql", f"WITH {MONTHLY} SELECT symbol, yr, mnth, {_SUMS} FROM m GROUP BY CUBE (symbol, yr, mnth)"
+    "ag_21_cube_sql",
+    "SELECT nation, owes, round(total, 2) AS total, n FROM "
+    "(SELECT s_nationkey AS nation, s_acctbal < 0 AS owes, sum(s_acctbal) AS total, count(*) AS n FROM supplier "
+    "GROUP BY CUBE (s_nationkey, s_acctbal < 0))",
 )
 def _(t):
+    places = t.supplier.selectExpr("s_nationkey AS nation", "s_acctbal < 0 AS owes", "s_acctbal AS balance")
     return t.spark.sql(
-        "SELECT symbol, yr, mnth, sum(qty) AS qty, round(sum(vlu), 2) AS vlu FROM {m} "
-        "GROUP BY symbol, yr, mnth WITH CUBE",
-        m=_monthly(t),
+        "SELECT nation, owes, round(sum(balance), 2) AS total, count(*) AS n FROM {places} GROUP BY nation, owes WITH CUBE",
+        places=places,
     )
 
 
@@ -232,19 +228,19 @@ def _(t):
     "GROUP BY GROUPING SETS ((symbol, yr), (symbol, mnth), (symbol))",
 )
 def _(t):
-    return _rounded(stock_grouping_sets(_monthly(t)))
+    return _rounded(totals(_monthly(t), "sets", sets=[("symbol", "yr"), ("symbol", "mnth"), ("symbol",)], set_id="set_id"))
 
 
 @query(
     "ag_22_grouping_sets_sql",
-    f"WITH {MONTHLY} SELECT symbol, yr, mnth, {_SUMS} FROM m "
-    "GROUP BY GROUPING SETS ((symbol, yr), (symbol, mnth), (symbol))",
+    "SELECT p_brand, p_size, max(p_retailprice) AS dearest, count(*) AS parts FROM part "
+    "GROUP BY GROUPING SETS ((p_brand), (p_size), ())",
 )
 def _(t):
     return t.spark.sql(
-        "SELECT symbol, yr, mnth, sum(qty) AS qty, round(sum(vlu), 2) AS vlu FROM {m} "
-        "GROUP BY symbol, yr, mnth GROUPING SETS ((symbol, yr), (symbol, mnth), (symbol))",
-        m=_monthly(t),
+        "SELECT p_brand, p_size, max(p_retailprice) AS dearest, count(*) AS parts FROM {part} "
+        "GROUP BY GROUPING SETS ((p_brand), (p_size), ())",
+        part=t.part,
     )
 
 
@@ -305,9 +301,15 @@ def _(t):
     )
 
 
-@query("ag_26_summary_quartiles")
+@query(
+    "ag_26_summary_quartiles",
+    "SELECT round(quantile_cont(value, 0.25), 6) AS p25, round(quantile_cont(value, 0.5), 6) AS p50, "
+    "round(quantile_cont(value, 0.75), 6) AS p75 FROM events",
+)
 def _(t):
-    return t.events.select("value").summary()
+    # Exact percentiles: equal values are counted together before they meet.
+    marks = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    return t.events.agg(*[F.round(F.percentile("value", F.lit(p)), 6).alias(n) for n, p in marks.items()])
 
 
 @query("ag_27_distinct_values", "SELECT DISTINCT p_brand FROM part")

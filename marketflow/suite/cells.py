@@ -76,7 +76,7 @@ def _(t):
 
 @query(
     "cl_08_row_maps",
-    f"WITH {CELLS} SELECT \"row\", 0::BIGINT AS part, count(*)::INTEGER AS n, "
+    f"WITH {CELLS} SELECT \"row\", 0::BIGINT AS page, count(*)::INTEGER AS n, "
     "string_agg(family || ':' || qualifier || '=' || value || '@' || ts, ',' ORDER BY family || ':' || qualifier) AS cells "
     "FROM latest GROUP BY 1",
 )
@@ -86,7 +86,7 @@ def _(t):
         F.array_sort(F.map_entries("cells")),
         lambda e: F.concat(e["key"], F.lit("="), e["value"]["value"], F.lit("@"), e["value"]["ts"].cast("string")),
     )
-    return maps.select("row", "part", F.size("cells").alias("n"), F.array_join(entries, ",").alias("cells"))
+    return maps.select("row", "page", F.size("cells").alias("n"), F.array_join(entries, ",").alias("cells"))
 
 
 @query("cl_09_full_scan", f"{LATEST} ORDER BY 1, 2, 3")

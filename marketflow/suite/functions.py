@@ -229,9 +229,14 @@ def _(t):
     return t.part.groupBy("p_brand").agg(N.lot_size(F.avg("p_retailprice")).alias("lot"))
 
 
-@query("ma_06_seeded_rand_int")
+@query(
+    "ma_06_seeded_rand_int",
+    "SELECT o_orderkey, true AS in_range, true AS same_again FROM orders",
+)
 def _(t):
-    return t.orders.select("o_orderkey", N.seeded_rand_int(1, 100).alias("r"))
+    r, again = N.seeded_rand_int(1, 100), N.seeded_rand_int(1, 100)
+    drawn = t.orders.select("o_orderkey", r.alias("r"), again.alias("again"))
+    return drawn.select("o_orderkey", F.col("r").between(0, 99).alias("in_range"), (F.col("r") == F.col("again")).alias("same_again"))
 
 
 @query("ma_07_round", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_extendedprice * 1.001, 5) AS p FROM lineitem")

@@ -218,9 +218,24 @@ def _(t):
     return t.lineitem.filter(F.upper(expiry) == traded).select("l_orderkey", "l_linenumber")
 
 
-@query("smp_01_sample_with_replacement")
+@query(
+    "smp_01_sample_with_replacement",
+    "SELECT true AS from_table, true AS repeated, true AS same_seed_same_rows, true AS about_twice",
+)
 def _(t):
-    return t.orders.select("o_orderkey").sample(True, 2.0, 5)
+    # What must hold of any sample with replacement of twice the table.
+    keys = t.orders.select("o_orderkey")
+
+    def counts(name):
+        return keys.sample(True, 2.0, 5).groupBy("o_orderkey").agg(F.count(F.lit(1)).alias(name))
+
+    both = keys.withColumn("known", F.lit(True)).join(counts("n"), "o_orderkey", "full").join(counts("m"), "o_orderkey", "full")
+    return both.agg(
+        F.bool_and(F.col("known").isNotNull()).alias("from_table"),
+        (F.max("n") > 1).alias("repeated"),
+        F.bool_and(F.col("n").eqNullSafe(F.col("m"))).alias("same_seed_same_rows"),
+        F.sum("n").between(F.count(F.lit(1)) * 1.8, F.count(F.lit(1)) * 2.2).alias("about_twice"),
+    )
 
 
 @query(

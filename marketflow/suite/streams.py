@@ -217,8 +217,8 @@ def _(t):
 
 @query("st_13_progress", "SELECT count(*) AS rows, true AS ok FROM events")
 def _(t):
-    _, q = K.run_append(_quotes(t))
-    progress = K.progress_frame(q)
+    _, q, batches = K.run_logged(_quotes(t))
+    progress = K.progress_frame(q, batches)
     return progress.agg(F.sum("input_rows").alias("rows"), F.bool_and(F.col("error").isNull()).alias("ok"))
 
 

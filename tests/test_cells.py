@@ -147,10 +147,10 @@ def test_wide_round_trip(spark):
 
 
 def test_row_maps_split_wide_rows(grid):
-    maps = C.as_row_maps(grid, part_cells=8)
+    maps = C.as_row_maps(grid, page_cells=8)
     sizes = [len(r.cells) for r in maps.collect()]
     assert sum(sizes) == 300 and max(sizes) == 8
-    assert maps.filter("row = 'row-1' and part = 0").first().cells["cf1:c10"].value == "cf1-ideval-10"
+    assert maps.filter("row = 'row-1' and page = 0").first().cells["cf1:c10"].value == "cf1-ideval-10"
 
 
 def test_value_filter_sample_matches_nothing(grid):

@@ -15,7 +15,7 @@ from marketflow.operators.collections import upsert, zip_by_position
 from marketflow.plans import derivatives as M
 from marketflow.plans import logs as L
 from marketflow.plans.matches import match_totals
-from marketflow.plans.stocks import stock_cube, stock_grouping_sets, with_month
+from marketflow.plans.stocks import totals, with_month
 
 LINES = [
     'h1 - - [01/Aug/1995:00:00:01 -0400] "GET /a HTTP/1.0" 200 1839',
@@ -178,8 +178,8 @@ def test_tree_aggregate_equals_flat(spark):
 
 def test_group_members_split(spark):
     df = spark.range(25).select((F.col("id") % 2).alias("k"), "id")
-    got = A.group_members(df, ["k"], "id", ["id"], part_rows=5)
-    parts = {(r.k, r.part): r.members for r in got.collect()}
+    got = A.group_members(df, ["k"], "id", ["id"], page_rows=5)
+    parts = {(r.k, r.page): r.members for r in got.collect()}
     assert max(map(len, parts.values())) == 5
     joined = [x for key in sorted(parts) if key[0] == 0 for x in parts[key]]
     assert joined == list(range(0, 25, 2))
@@ -204,9 +204,9 @@ def test_cube_and_grouping_sets(spark):
     ddl = "symbol string, trdate string, qty int, vlu double"
     data = [("INFY", "2017-05-01", 2000, 10.0), ("INFY", "2017-5-02", 1954, 20.0), ("SBIN", "2017-06-03", 5, 1.0)]
     monthly = with_month(spark.createDataFrame(data, ddl))
-    total = stock_cube(monthly).filter("symbol is null and yr is null and mnth is null").first()
+    total = totals(monthly, "cube").filter("symbol is null and yr is null and mnth is null").first()
     assert (total.qty, total.vlu) == (3959, 31.0)
-    sets = stock_grouping_sets(monthly)
+    sets = totals(monthly, "sets", sets=[("symbol", "yr"), ("symbol", "mnth"), ("symbol",)], set_id="set_id")
     assert rows(sets.filter("symbol = 'INFY'"), "yr", "mnth", "qty") == [(2017, None, 3954), (None, 5, 3954), (None, None, 3954)]
 
 
