@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from marketflow.functions.dates import trade_date
 from marketflow.functions.strings import contract_row_key
 from marketflow.operators.aggregates import group_members
+from marketflow.operators.cell_filters import compiled
 from marketflow.operators.windows import top_per_key
 from marketflow.session import stored
 
@@ -29,31 +30,33 @@ COLUMN = ["row", "family", "qualifier"]
 # --- visibility ------------------------------------------------------------------------------
 
 
-def _tombstones(cells: DataFrame) -> DataFrame:
-    """Newest delete per exact scope; combined map-side."""
-    return cells.filter("is_delete").groupBy(*COLUMN).agg(F.max("ts").alias("dead_ts"))
+def _hide_deleted(puts: DataFrame, cells: DataFrame, own_column: bool) -> DataFrame:
+    """Puts not covered by a delete of their family or row, or (``own_column``) of their column.
 
-
-def _hide_deleted(puts: DataFrame, cells: DataFrame, scopes: Sequence[str]) -> DataFrame:
-    """Puts not covered by a delete of the given scopes ("column", "family", "row").
-
-    Each scope is its own anti join on equality keys, so adaptive execution can broadcast a short
-    delete list or split a hot row; there is no "or" across scopes.
+    Marks of families and rows come from one read: per row, the newest mark of the row and a map of
+    those of its families, of which a table has few.  A mark hides what is as old or older.
     """
-    dead = _tombstones(cells)
-    kinds = {
-        "column": (dead.filter("qualifier is not null"), COLUMN),
-        "family": (dead.filter("family is not null and qualifier is null"), ["row", "family"]),
-        "row": (dead.filter("family is null"), ["row"]),
-    }
-    for scope in scopes:
-        marks, on = kinds[scope]
-        right = marks.select(*[F.col(c).alias(f"d_{c}") for c in on], "dead_ts")
-        match = F.col("ts") <= F.col("dead_ts")
-        for c in on:
-            match = match & (F.col(c) == F.col(f"d_{c}"))
-        puts = puts.join(right, match, "left_anti")
-    return puts
+    wide = (
+        cells.filter(F.col("is_delete") & F.col("qualifier").isNull())
+        .groupBy("row", "family").agg(F.max("ts").alias("dead_ts"))
+        .groupBy(F.col("row").alias("_d_row")).agg(
+            F.max(F.when(F.col("family").isNull(), F.col("dead_ts"))).alias("_row_ts"),
+            F.map_from_entries(
+                F.collect_list(F.when(F.col("family").isNotNull(), F.struct("family", "dead_ts")))
+            ).alias("_family_ts"),
+        )
+    )
+    joined = puts.join(wide, puts["row"] == F.col("_d_row"), "left")
+    newest = F.greatest("_row_ts", F.try_element_at("_family_ts", F.col("family")))
+    kept = joined.filter(newest.isNull() | (F.col("ts") > newest)).select(*puts.columns)
+    if not own_column:
+        return kept
+    marks = cells.filter(F.col("is_delete") & F.col("qualifier").isNotNull())
+    own = marks.groupBy(*[F.col(c).alias(f"_d_{c}") for c in COLUMN]).agg(F.max("ts").alias("_dead_ts"))
+    match = F.col("ts") <= F.col("_dead_ts")
+    for c in COLUMN:
+        match = match & (F.col(c) == F.col(f"_d_{c}"))
+    return kept.join(own, match, "left_anti")
 
 
 def _puts(cells: DataFrame) -> DataFrame:
@@ -73,13 +76,13 @@ def latest(cells: DataFrame) -> DataFrame:
         F.max(F.when(F.col("is_delete"), F.col("ts"))).alias("_dead"),
     )
     alive = newest.filter(F.col("_c").isNotNull() & (F.col("_dead").isNull() | (F.col("_c.ts") > F.col("_dead"))))
-    return _hide_deleted(alive.select(*COLUMN, "_c.ts", "_c.value"), cells, ["family", "row"])
+    return _hide_deleted(alive.select(*COLUMN, "_c.ts", "_c.value"), cells, own_column=False)
 
 
 def all_versions(cells: DataFrame) -> DataFrame:
     """Every visible version; several puts at one timestamp are one version, the last in the batch."""
     per_ts = _puts(cells).groupBy(*COLUMN, "ts").agg(F.max_by("value", "seq").alias("value"))
-    return _hide_deleted(per_ts, cells, ["column", "family", "row"])
+    return _hide_deleted(per_ts, cells, own_column=True)
 
 
 def as_of(cells: DataFrame, ts: int) -> DataFrame:
@@ -150,12 +153,15 @@ class ScanSpec:
     columns: Sequence[str] | None = None
     qualifier_regex: str | None = None
     filters: Sequence = field(default_factory=tuple)
+    filter_string: str | None = None
     reverse: bool = False
 
 
 def scan(cells: DataFrame, spec: ScanSpec | None = None, **options) -> DataFrame:
     """Latest cells in key order; ``[start, stop)``, prefix, exact timestamp, columns, filters.
 
+    Filters are steps of ``cell_filters`` or one filter string.
+
     Key bounds apply before versions are resolved and are plain comparisons on ``row``, which
     Parquet uses to skip row groups.  A start equal to the stop is an empty range.
     """
@@ -171,7 +177,7 @@ def scan(cells: DataFrame, spec: ScanSpec | None = None, **options) -> DataFrame
     else:
         found = latest(cells)
     found = select_columns(found, spec.columns, spec.qualifier_regex)
-    for keep in spec.filters:
+    for keep in [*spec.filters, *(compiled(spec.filter_string) if spec.filter_string else [])]:
         found = keep(found)
     row = F.desc("row") if spec.reverse else F.asc("row")
     return found.orderBy(row, "family", "qualifier", F.desc("ts"))
@@ -254,20 +260,18 @@ def prune_versions(
 ) -> DataFrame:
     """Visible versions within each family's version limit and time-to-live.
 
-    One top-n per distinct limit, so Catalyst sees a literal n and cuts before the shuffle.
+    One numbering for all families: cut to the largest limit, which Catalyst does before the shuffle,
+    and to the family's own after it.
     """
     rows = all_versions(cells)
     for family, age in (ttl or {}).items():
         rows = rows.filter((F.col("family") != family) | (F.col("ts") >= now - age))
-    out = None
-    for n in sorted({*limits.values(), default}):
-        named = [f for f, m in limits.items() if m == n]
-        mine = F.col("family").isin(named) if named else F.lit(False)
-        if n == default:
-            mine = mine | ~F.col("family").isin(list(limits))
-        kept = top_per_key(rows.filter(mine), COLUMN, [F.desc("ts")], n)
-        out = kept if out is None else out.unionByName(kept)
-    return out
+    own = F.lit(default)
+    for family, n in limits.items():
+        own = F.when(F.col("family") == family, n).otherwise(own)
+    newest = Window.partitionBy(*COLUMN).orderBy(F.desc("ts"))
+    ranked = rows.withColumn("_rn", F.row_number().over(newest)).filter(F.col("_rn") <= max(default, *limits.values(), 0))
+    return ranked.filter(F.col("_rn") <= own).drop("_rn")
 
 
 def increment(cells: DataFrame, deltas: DataFrame, ts: int, skip_bad: bool = False) -> DataFrame:

@@ -122,7 +122,7 @@ def _(t):
 def _(t):
     spec = C.ScanSpec(
         start="0000000010", stop="0000000140", columns=["view", "error"], reverse=True,
-        filters=[CF.column_prefix("k4"), CF.value_filter("!=", "binary:")],
+        filter_string="ColumnPrefixFilter('k4') AND ValueFilter(!=, 'binary:')",
     )
     return C.scan(cells_of(t), spec)
 
@@ -409,4 +409,28 @@ for _name, (_step, _sql) in FILTERS.items():
 @query("cf_18_and", f"WITH {CELLS} SELECT {_C} FROM (SELECT *, row_number() OVER (PARTITION BY \"row\" ORDER BY family, "
        "qualifier) AS pos FROM latest WHERE \"row\" LIKE '000000007%') WHERE pos <= 5")
 def _(t):
-    return C.scan(cells_of(t), filters=[CF.prefix("000000007"), CF.column_count(5)])
+    return C.scan(cells_of(t), filter_string="PrefixFilter('000000007') AND ColumnCountGetFilter(5)")
+
+
+#: A filter string for every form, next to the query whose SQL it must equal.
+STRINGS = {
+    "cf_01_key_only": "KeyOnlyFilter()",
+    "cf_02_first_key_only": "FirstKeyOnlyFilter()",
+    "cf_03_multiple_column_prefix": "MultipleColumnPrefixFilter('k1', 'k25')",
+    "cf_05_page": "PageFilter(10)",
+    "cf_06_column_page": "ColumnPaginationFilter(3, 2)",
+    "cf_07_inclusive_stop": "InclusiveStopFilter('0000000020')",
+    "cf_08_row_regex": "RowFilter(!=, 'regexstring:[12]$')",
+    "cf_09_timestamps": "TimestampsFilter(9001, 9002, 9003, 9004, 9005)",
+    "cf_10_family": "FamilyFilter(=, 'substring:IE')",
+    "cf_11_qualifier": "QualifierFilter(>, 'binary:k50')",
+    "cf_13_dependent_column": "DependentColumnFilter('view', 'k10')",
+    "cf_14_single_column_value": "SingleColumnValueFilter('view', 'k11', =, 'regexstring:^1')",
+    "cf_15_single_column_value_exclude": "SingleColumnValueExcludeFilter('view', 'k11', =, 'regexstring:^1')",
+    "cf_16_column_range": "ColumnRangeFilter('k11', true, 'k15', false)",
+    "cf_19_skip": r"SKIP ValueFilter(!=, 'regexstring:^77\.')",
+    "cf_20_while_scan": "WHILE RowFilter(!=, 'substring:0090')",
+}
+
+for _name, _text in STRINGS.items():
+    query(f"{_name}_string", FILTERS[_name][1])(lambda t, text=_text: C.scan(cells_of(t), filter_string=text))

@@ -190,3 +190,21 @@ def test_dependent_column_and_pages(grid):
 def test_unknown_comparator_is_refused():
     with pytest.raises(ValueError):
         CF.matches("row", "<", "substring:x")
+
+
+def test_filter_strings_that_cannot_be_read():
+    for text in ("", "NoSuchFilter()", "PageFilter(1) OR PageFilter(2)", "PageFilter(1) PageFilter(2)", "SKIP PageFilter(1)",
+                 "PrefixFilter('a", "PrefixFilter(a)", "ValueFilter(=, 'nokind:x')", "ValueFilter(~, 'binary:x')"):
+        with pytest.raises((ValueError, KeyError)):
+            CF.compiled(text)
+    assert len(CF.compiled("PrefixFilter('it''s, (so)') AND  WHILE ValueFilter( = ,'binary:x')")) == 2
+
+
+def test_reads_of_the_table(spark, grid, tmp_path):
+    path = str(tmp_path / "cells")
+    grid.write.parquet(path)
+    cells = spark.read.parquet(path)
+    assert plan(C.latest(cells)).count("FileScan") <= 2
+    assert plan(C.prune_versions(cells, {"cf1": 1, "cf2": 2})).count("FileScan") <= 3
+    for step in (CF.page(2), CF.dependent_column("cf1", "c00"), CF.skip(CF.matches("value", "=", "substring:1"))):
+        assert plan(step(C.latest(cells))).count("FileScan") <= 3
