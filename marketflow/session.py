@@ -50,9 +50,29 @@ def _local_dir() -> str:
     return tempfile.mkdtemp(prefix="marketflow-")
 
 
+#: Paths handed out by this process, for :func:`clean_scratch`.
+_handed_out: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below :func:`shared_dir`; nothing exists there yet."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Drop the databases and delete the folders that this process made.
+
+    For the end of an application, when no result that reads them is needed any more.
+    """
+    for db in spark.catalog.listDatabases("mf_*"):
+        if any(db.locationUri.endswith(p.rsplit("/", 1)[1]) for p in _handed_out):
+            spark.sql(f"DROP DATABASE {db.name} CASCADE")
+    while _handed_out:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
+        store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        store.delete(path, True)
 
 
 def ship_module(spark: SparkSession, path: str) -> None:
