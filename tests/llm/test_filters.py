@@ -7,7 +7,7 @@ import re
 
 import numpy as np
 import xxhash
-from llm_fixtures import make_docs, rows, text_of
+from llm_fixtures import make_docs, odd_rows, rows, text_of  # noqa: F401
 from pyspark.sql import functions as F
 
 from marketflow.llm import components, decontaminate, golay, quality, secrets, simhash

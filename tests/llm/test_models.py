@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from llm_fixtures import make_docs, rows, text_of
+from llm_fixtures import make_docs, odd_rows, rows, text_of  # noqa: F401
 from pyspark.sql import functions as F
 
 from marketflow.llm import gru, langid, pieces, queries, token_files, toxicity

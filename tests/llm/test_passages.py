@@ -7,7 +7,7 @@ import re
 
 import numpy as np
 import pytest
-from llm_fixtures import make_docs, rows, text_of
+from llm_fixtures import make_docs, odd_rows, rows, text_of  # noqa: F401
 
 from marketflow.llm import bwt, bytepassages, substrings
 from marketflow.llm import repeats as R
