@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketflow.llm import decontaminate
+from marketflow.llm import decontaminate, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -96,11 +96,9 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return P.with_decoded_digest(P.encode_texts(table(spark, folder, "documents"), path), path)
 
 
-@query("op1_substring_dedup")
+@query("op1_substring_dedup", substrings.ORACLE)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
-    from marketflow.llm import substrings as S
-
-    return S.repeat_report(table(spark, folder, "documents"))
+    return substrings.repeat_report(table(spark, folder, "documents"))
 
 
 @query("op4_suffix_dedup")

@@ -164,3 +164,24 @@ def _cut(docs: DataFrame, digest: bool) -> DataFrame:
             )
 
     return arrow_map(R.with_runs(rows, runs), cut, f"doc_id long, n_words long, n_removed long, {last} string")
+
+
+#: :func:`repeat_report` by brute force: every window of every document as a text.
+ORACLE = """
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), places AS (
+  SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d
+), ranked AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(w[i:i + 19], ' ') ORDER BY doc_id, i) AS nth FROM places
+), gone AS (
+  SELECT DISTINCT doc_id, i + k AS p FROM ranked, (SELECT unnest(range(20)) AS k) WHERE nth > 1
+), each AS (
+  SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d
+), kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS line FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+), lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(line, '')) AS kept_sha256
+FROM d LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
