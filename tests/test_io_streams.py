@@ -220,3 +220,18 @@ def test_clean_scratch_removes_what_was_made(spark, tmp_path):
             spark.read.parquet(path)
     finally:
         session._handed_out[:] = kept
+
+
+def test_progress_of_more_batches_than_spark_keeps(spark, tmp_path):
+    path = str(tmp_path / "in")
+    spark.range(120).selectExpr("cast(id as string) as value").repartition(120).write.text(path)
+    n = len(spark.read.text(path).inputFiles())
+    old = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "5")
+    try:
+        lines = spark.readStream.option("maxFilesPerTrigger", max(1, n // 12)).text(path)
+        _, query, batches = SK.run_logged(lines)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", old)
+    assert len(query.recentProgress) <= 5 < len(batches)
+    assert SK.progress_frame(query, batches).agg(F.sum("input_rows")).first()[0] == 120

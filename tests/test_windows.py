@@ -1,7 +1,7 @@
 """Hot-key windows against the plain window on the same rows."""
 
 import pytest
-from conftest import plan
+from conftest import plan, rows
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -123,3 +123,12 @@ def test_top_per_key_is_cut_before_the_shuffle(skewed):
     text = plan(top_per_key(skewed, ["k"], [F.col("day"), F.col("id")], 3))
     below_exchange = text.split("Exchange hashpartitioning")[1]
     assert "WindowGroupLimit" in below_exchange
+
+
+def test_top_per_key_of_equal_rows(spark):
+    # 3,000 equal rows of one key and more rows wanted than Catalyst's own limit covers
+    df = spark.range(3000).selectExpr("1 as k", "7 as v").unionByName(spark.range(10).selectExpr("1 as k", "cast(id as int) as v"))
+    got = top_per_key(df, ["k"], [F.desc("v")], 2500)
+    assert rows(got.groupBy("v").count()) == [(7, 2498), (8, 1), (9, 1)]
+    low = top_per_key(df, ["k"], [F.col("v")], 1500)
+    assert rows(low.groupBy("v").count()) == [(0, 1), (1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (6, 1), (7, 1493)]
