@@ -91,7 +91,7 @@ class PieceModel:
         key = (left, right)
         known = self._apart.get(key)
         if known is None:
-            if len(self._apart) > 300_000:
+            if len(self._apart) > 200_000:
                 self._apart.clear()
             known = self._apart[key] = self.merge(left + right) == ([left, right] if left else [right])
         return known
@@ -168,7 +168,7 @@ class StreamingViterbi:
 class PieceEncoder:
     """Ids of whole texts; remembers a bounded number of words and of the parts they are made of."""
 
-    def __init__(self, model: PieceModel, most: int = 500_000):
+    def __init__(self, model: PieceModel, most: int = 300_000):
         self.model, self.most = model, most
         self.known: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
