@@ -168,7 +168,7 @@ class StreamingViterbi:
 class PieceEncoder:
     """Ids of whole texts; remembers a bounded number of words and of the parts they are made of."""
 
-    def __init__(self, model: PieceModel, most: int = 300_000):
+    def __init__(self, model: PieceModel, most: int = 400_000):
         self.model, self.most = model, most
         self.known: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
