@@ -21,19 +21,26 @@ def partition_profile(df: DataFrame) -> DataFrame:
 
 
 def partition_members(df: DataFrame, column: str, separator: str = ", ") -> DataFrame:
-    """(partition, n, members): each partition's values of ``column`` as one text, empty ones too."""
+    """(partition, part, n, members): the values of ``column`` as one text for each Arrow batch, numbered
+    within the partition.  An empty partition has one part without rows; nulls are written as None."""
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, out = 0, []
+        own, part = TaskContext.get().partitionId(), 0
+
+        def row(n: int, members: str) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([own], pa.int32()), pa.array([part], pa.int64()), pa.array([n], pa.int64()), pa.array([members])],
+                ["partition", "part", "n", "members"],
+            )
+
         for batch in batches:
-            out += [str(v) for v in batch.column(0).to_pylist()]
-            n += batch.num_rows
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64()), pa.array([separator.join(out)])],
-            ["partition", "n", "members"],
-        )
-
-    return df.select(column).mapInArrow(join, "partition int, n long, members string")
+            if batch.num_rows:
+                yield row(batch.num_rows, separator.join(str(v) for v in batch.column(0).to_pylist()))
+                part += 1
+        if not part:
+            yield row(0, "")
+
+    return df.select(column).mapInArrow(join, "partition int, part long, n long, members string")
 
 
 def map_partitions(df: DataFrame, fn: Callable[[Iterator], Iterator], schema: str) -> DataFrame:

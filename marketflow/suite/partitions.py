@@ -26,11 +26,11 @@ def _(t):
     "(VALUES (0::INTEGER, 'F'), (1, 'O'), (2, 'P'), (3, '-')) s(p, status) LEFT JOIN orders ON o_orderstatus = status GROUP BY 1",
 )
 def _(t):
-    # One text for each partition, however many batches it has; the last partition is empty.
+    # Bounded texts, one for each batch, added up by partition; the last partition is empty.
     place = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
     joined = P.partition_members(P.partition_by(t.orders, place, 4), "o_orderpriority")
     chars = F.length("members") - 2 * F.greatest(F.col("n") - 1, F.lit(0))
-    return joined.select("partition", "n", chars.cast("bigint").alias("chars"))
+    return joined.groupBy("partition").agg(F.sum("n").alias("n"), F.sum(chars.cast("bigint")).alias("chars"))
 
 
 @query("pt_04_coalesce", "SELECT l_returnflag, sum(l_quantity) AS total FROM lineitem GROUP BY 1")
