@@ -106,3 +106,10 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     from marketflow.llm import bytepassages as B
 
     return B.string_report(table(spark, folder, "documents"))
+
+
+@query("op11_importance_resampling")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    from marketflow.llm import importance as I
+
+    return I.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
