@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketflow.llm import decontaminate, substrings
+from marketflow.llm import decontaminate, substrings, vectorcodes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -113,3 +113,8 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     from marketflow.llm import importance as I
 
     return I.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op13_vector_codes", vectorcodes.ORACLE)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return vectorcodes.compress(table(spark, folder, "embeddings"))
