@@ -345,9 +345,9 @@ def _oracle() -> str:
     out = ["""
 WITH kept AS (
   SELECT row_number() OVER () AS rid, vec_id, label, len(embedding) // 4 AS d,
-         list_transform(embedding, x -> floor(1024 * x::DOUBLE)::BIGINT) AS v
+         list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), parts AS (
   SELECT rid, p, list_slice(v, p * d + 1, p * d + d) AS x, d FROM kept, range(4) AS t(p)
 ), first AS (
@@ -358,7 +358,7 @@ WITH kept AS (
     for k in range(ROUNDS + 1):
         out.append(f"""
 , far{k} AS (
-  SELECT rid, p, e, list_sum(list_transform(range(1, d + 1), i -> (x[i] - c[i]) * (x[i] - c[i])))::BIGINT AS q
+  SELECT rid, p, e, list_sum(list_transform(range(1, d + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT AS q
   FROM parts JOIN book{k} USING (p)
 ), near{k} AS (
   SELECT rid, p, arg_min(e, q * 256 + e) AS e, min(q) AS q FROM far{k} GROUP BY rid, p
