@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketflow.llm import decontaminate, substrings, vectorcodes
+from marketflow.llm import decontaminate, substrings, vectorcodes, vectordups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -118,3 +118,8 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_vector_codes", vectorcodes.ORACLE)
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return vectorcodes.compress(table(spark, folder, "embeddings"))
+
+
+@query("op12_embedding_near_dedup", vectordups.ORACLE)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return vectordups.near_duplicates(table(spark, folder, "embeddings"))
