@@ -6,6 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marketflow.operators.skew import find_hot_keys
+from marketflow.operators import windows
 from marketflow.operators.windows import lagged, moving_avg, row_numbers, running_sum, top_per_key
 
 
@@ -99,6 +100,26 @@ def test_moving_avg_and_lag_across_blocks(skewed, block_rows):
     same(got, skewed.withColumns({f"v_{n}": F.lag("v", n).over(spec) for n in (1, 20)}))
 
 
+@pytest.mark.parametrize("block_rows", [1, 100, 65_536])
+def test_long_moving_avg_is_put_together_from_laps(skewed, monkeypatch, block_rows):
+    monkeypatch.setattr(windows, "SHORT_FRAME", 2)
+    spec = W.partitionBy("k").orderBy("day", "id")
+    sizes = {f"m{n}": n for n in (2, 3, 20, 200)}
+    kinds = {"v": "long", "d": "decimal(12,2)", "x": "double"}
+    df = skewed.withColumns({"d": (F.col("v") / 4).cast("decimal(12,2)"), "x": F.col("v") / 8})
+    for col, kind in kinds.items():
+        got = moving_avg(df, ["k"], ["day", "id"], col, sizes, block_rows=block_rows)
+        want = df.withColumns({name: F.avg(col).over(spec.rowsBetween(-n, 0)) for name, n in sizes.items()})
+        assert got.schema == want.schema, kind
+        same(got, want)
+
+
+def test_long_moving_avg_shuffles_once(skewed):
+    text = plan(moving_avg(skewed, ["k"], ["day", "id"], "v", {"m200": 200}))
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "-200, currentrow" not in text  # no frame of that length, only a look at the row 200 places back
+
+
 def test_five_preceding_rows_are_six_rows(spark):
     df = spark.range(10).select(F.lit("A").alias("s"), "id", F.col("id").cast("double").alias("c"))
     got = moving_avg(df, ["s"], ["id"], "c", {"m": 5}, tasks=2)
