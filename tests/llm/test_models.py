@@ -249,7 +249,8 @@ def test_pipeline_against_its_parts(spark, sf_dir):
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "near_duplicates", "decontamination", "secrets", "sentencepiece"
     ]
-    from test_filters import brute_components, brute_leaks, brute_secrets
+    from test_filters import brute_leaks, brute_secrets
+    from test_nearcopies import brute as brute_components
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     bench = rows(spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "item_id", "text")
@@ -260,7 +261,7 @@ def test_pipeline_against_its_parts(spark, sf_dir):
     model = toxicity.learn_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     bad = {r["doc_id"] for r in toxicity.score_toxicity(docs, model).collect() if r["predicted"]}
     assert kept == {d for d, in rows(docs, "doc_id")} - bad
-    one = {d for d, _, c in brute_components(left) if d == c}
+    one = {d for d, c in brute_components(left) if d == c}
     leaks = {r[0] for r in brute_leaks([x for x in left if x[0] in one], bench)}
     out = corpus_pipeline.run(spark, sf_dir).collect()
     assert {r["doc_id"] for r in out} == one - leaks
