@@ -116,29 +116,32 @@ def running_sum(
 
     if hot is None:
         return df.withColumns({n: F.sum(c).over(over(keys)) for n, c in sums.items()})
+    carried = _carried(hot.hot(df), keys, {n: F.sum(c) for n, c in sums.items()})
+    if frame == "rows" or not hot.heavy_ties:
+        # one reading and one shuffle for all rows: those of other keys have no range and nothing carried
+        tagged = hot.tag(df)
+        summed = tagged.withColumns({n: F.sum(c).over(over([*keys, "_range"])) for n, c in sums.items()})
+        return _with_earlier(summed, carried, keys, sums).select(*df.columns, *sums)
+    # One date alone holds a large part of a key, so its rows are added up before the window
+    # and the total is joined back; adaptive execution splits the large side of that join.
     cold, hot_rows = hot.cold(df), hot.hot(df)
     if cold is not None:
         cold = cold.withColumns({n: F.sum(c).over(over(keys)) for n, c in sums.items()})
-    carried = _carried(hot_rows, keys, {n: F.sum(c) for n, c in sums.items()})
-    if frame == "rows" or not hot.heavy_ties:
-        part = [*keys, "_range"]
-        summed = hot_rows.withColumns({n: F.sum(c).over(over(part)) for n, c in sums.items()})
-    else:
-        # One date alone holds a large part of a key, so its rows are added up before the window
-        # and the total is joined back; adaptive execution splits the large side of that join.
-        peers = hot_rows.groupBy(*keys, "_range", *order).agg(
-            *[F.sum(c).alias(n) for n, c in sums.items()]
-        )
-        totals = peers.withColumns({n: F.sum(n).over(over([*keys, "_range"])) for n in sums})
-        right = totals.toDF(*[c if c in sums else f"_p_{c}" for c in totals.columns])
-        match = F.lit(True)
-        for c in [*keys, "_range", *order]:
-            match = match & F.col(c).eqNullSafe(F.col(f"_p_{c}"))
-        summed = hot_rows.join(right, match).select(*hot_rows.columns, *sums)
-    summed = _with_carried(summed, carried, keys).withColumns(
+    peers = hot_rows.groupBy(*keys, "_range", *order).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    totals = peers.withColumns({n: F.sum(n).over(over([*keys, "_range"])) for n in sums})
+    right = totals.toDF(*[c if c in sums else f"_p_{c}" for c in totals.columns])
+    match = F.lit(True)
+    for c in [*keys, "_range", *order]:
+        match = match & F.col(c).eqNullSafe(F.col(f"_p_{c}"))
+    summed = hot_rows.join(right, match).select(*hot_rows.columns, *sums)
+    return _rejoin(cold, _with_earlier(summed, carried, keys, sums), [*df.columns, *sums])
+
+
+def _with_earlier(summed: DataFrame, carried: DataFrame, keys: list[str], sums: dict[str, Column]) -> DataFrame:
+    """Sums within a range plus those of the key's earlier ranges."""
+    return _with_carried(summed, carried, keys).withColumns(
         {n: _plus(F.col(n), F.col(f"_c_{n}")) for n in sums}
     )
-    return _rejoin(cold, summed, [*df.columns, *sums])
 
 
 def _plus(total: Column, earlier: Column) -> Column:

@@ -74,6 +74,15 @@ def test_running_sum(skewed, tasks, frame):
     same(got, want)
 
 
+def test_running_sum_of_hot_keys_reads_twice(spark, skewed, tmp_path):
+    path = str(tmp_path / "skewed")
+    skewed.write.parquet(path)
+    df = spark.read.parquet(path)
+    text = plan(running_sum(df, ["k"], ["day", "id"], {"s": F.col("v")}, "rows", 8))
+    assert text.count("FileScan") == 2  # the rows, and the totals of ranges
+    assert plan(row_numbers(df, ["k"], ["day", "id"], tasks=8)).count("FileScan") == 2
+
+
 def test_running_sum_when_one_day_is_most_of_a_key(spark):
     df = spark.range(2000).select(
         "id", F.lit(1).alias("k"), F.when(F.col("id") % 10 != 0, 5).otherwise(F.col("id") % 9).alias("day"),
