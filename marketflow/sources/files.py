@@ -37,18 +37,21 @@ def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None
     return lines.repartition(min_partitions)
 
 
-def read_lines_with_offset(spark: SparkSession, path: str) -> DataFrame:
+def read_lines_with_offset(spark: SparkSession, path: str, parts: bool = False) -> DataFrame:
     """(file, byte offset, line) of uncompressed text files.
 
     A line belongs to the split it begins in, so a line's offset is the length of all lines in the
     file's earlier splits, one row per split, plus that of the lines before it in its own split.
+    With ``parts`` the files of one folder are parts of one text, in the order of their names, and offsets
+    run on from one to the next; so a large text may be written by many tasks.
     """
     lines = spark.read.option("lineSep", "\n").text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
     )
     size = F.octet_length("value") + F.lit(1)
     splits = lines.groupBy("file", "block").agg(F.sum(size).alias("size"))
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    text = F.regexp_replace("file", "/[^/]*$", "") if parts else F.col("file")
+    before = Window.partitionBy(text).orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
     begins = splits.select("file", "block", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("begin"))
 
     def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

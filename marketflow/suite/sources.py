@@ -44,13 +44,14 @@ def _(t):
     "o_orderpriority) - 1)::BIGINT AS \"offset\" FROM orders",
 )
 def _(t):
-    # One file per status, its lines in key order.
+    # One folder per status, its lines in key order over as many part files as its rows need.
     path = scratch_path(t.spark, "text")
     line = F.concat_ws(" ", "o_orderkey", "o_orderpriority").alias("value")
-    rows = t.orders.repartition("o_orderstatus").sortWithinPartitions("o_orderstatus", "o_orderkey")
+    order = ["o_orderstatus", "o_orderkey"]
+    rows = t.orders.repartitionByRange(*order).sortWithinPartitions(*order)
     rows.select("o_orderstatus", line).write.partitionBy("o_orderstatus").text(path)
     status = F.regexp_extract("file", "o_orderstatus=([^/]+)/", 1).alias("status")
-    return R.read_lines_with_offset(t.spark, path).select(status, "line", "offset")
+    return R.read_lines_with_offset(t.spark, path, parts=True).select(status, "line", "offset")
 
 
 _ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority"

@@ -187,6 +187,25 @@ def test_partitions_without_rows(spark):
         SS.record_stream(spark, "/nowhere", start="latest")
 
 
+def test_offsets_across_part_files(spark, tmp_path):
+    """Parts of one folder are one text; other folders begin anew."""
+    for folder in ("k=a", "k=b"):
+        (tmp_path / folder).mkdir()
+        for part in range(5):
+            text = "".join(f"{folder} {part} {'é' * i}\n" for i in range(part * 7))
+            (tmp_path / folder / f"part-{part:05d}.txt").write_text(text, newline="")
+    got = rows(R.read_lines_with_offset(spark, str(tmp_path), parts=True), "offset", "line")
+    want = []
+    for folder in ("k=a", "k=b"):
+        at = 0
+        for part in range(5):
+            for i in range(part * 7):
+                line = f"{folder} {part} {'é' * i}"
+                want.append((at, line))
+                at += len(line.encode()) + 1
+    assert got == sorted(want, key=repr)
+
+
 def test_offsets_across_splits(spark, tmp_path):
     lines = [f"line {i} " + "é" * (i % 50) for i in range(3000)]
     path = tmp_path / "a.txt"
