@@ -1,10 +1,10 @@
 """Repeated byte strings, from merged Burrows-Wheeler transforms of the shards of each bucket.
 
 All windows of 400 bytes that could be equal meet in one bucket (:mod:`marketflow.llm.repeats`), as the
-segments that each Arrow batch sent.  Every batch's segments are a shard: their windows, as four
+segments that each Arrow batch sent.  Segments of consecutive batches are a shard: their windows, as four
 symbols of 100 bytes, are transformed by themselves, and the shards' transforms are merged by interleave
-refinement (:mod:`marketflow.llm.bwt`).  Intervals of two windows or more are the repeats.  A symbol is
-named by a 64-bit hash of its bytes.
+refinement (:mod:`marketflow.llm.bwt`).  Neighbours with all four symbols in common are the repeats.  A
+symbol is named by a 64-bit hash of its bytes.
 """
 
 from __future__ import annotations
@@ -23,41 +23,38 @@ from marketflow.llm.shipping import arrow_map
 
 BYTES = R.Windows(width=400, anchor=32, of_words=False)
 SYMBOL = 100
+DEPTH = BYTES.width // SYMBOL
+#: Windows of a shard, about.
+SHARD = 1 << 18
 
 
 def repeated_anywhere(found: R.Segments) -> np.ndarray:
     """Flags of the windows of a bucket that equal another one."""
     sums = R.prefix_sums(found.data.astype(np.uint64) + np.uint64(1), BYTE_BASE)
     n = int(found.count.sum())
-    seg = np.repeat(np.arange(len(found.count)), found.count)
+    by_batch = np.argsort(found.shard, kind="stable")
+    cut = np.cumsum(found.count[by_batch]) // SHARD
     begin = np.cumsum(found.count) - found.count
-    at = found.offsets[:-1][seg] + np.arange(n) - begin[seg]
-    by_shard = np.argsort(found.shard[seg], kind="stable")
-    ends = np.searchsorted(found.shard[seg][by_shard], np.arange(int(found.shard.max()) + 2))
-    shards, windows = [], []
-    for a, b in zip(ends[:-1], ends[1:]):
-        if a == b:
-            continue
-        mine = by_shard[a:b]
-        symbols = [
-            R.range_hashes(sums, at[mine] + k, at[mine] + k + SYMBOL, BYTE_BASE) for k in range(0, BYTES.width, SYMBOL)
-        ]
-        shards.append(bwt.transform(symbols))
-        windows.append(mine[shards[-1].order])
+    seg_of = np.repeat(np.arange(len(found.count)), found.count)
+    shards = []
+    for mine in np.split(by_batch, np.flatnonzero(np.diff(cut)) + 1):
+        count = found.count[mine]
+        seg = np.repeat(mine, count)
+        step = np.arange(len(seg)) - np.repeat(np.cumsum(count) - count, count)
+        at = found.offsets[:-1][seg] + step
+        symbols = [R.range_hashes(sums, at + k, at + k + SYMBOL, BYTE_BASE) for k in range(0, BYTES.width, SYMBOL)]
+        shards.append(bwt.transform(symbols, begin[seg] + step))
     merged = bwt.merge(shards)
-    window = np.empty(n, np.int64)
-    window[np.argsort(merged.shard, kind="stable")] = np.concatenate(windows)
-    weight = 1 + found.twice[seg[window]]
-    repeated = np.bincount(merged.interval, weights=weight)[merged.interval] > 1
+    interval = np.cumsum(merged.common < DEPTH) - 1
+    weight = 1 + found.twice[seg_of[merged.order]]
     flags = np.zeros(n, bool)
-    flags[window[repeated]] = True
+    flags[merged.order[np.bincount(interval, weights=weight)[interval] > 1]] = True
     return flags
 
 
 def repeated_strings(docs: DataFrame) -> DataFrame:
     """(doc_id, start, end): maximal stretches of bytes in 400-byte strings that occur elsewhere; end exclusive."""
-    rows = R.numbered(docs)
-    runs = R.repeated_windows(rows, BYTES, repeated_anywhere, spare_first=False)
+    rows, runs = R.repeated_windows(docs, BYTES, repeated_anywhere, spare_first=False)
     return R.spans(rows, runs, BYTES.width)
 
 
@@ -77,18 +74,17 @@ def string_report(docs: DataFrame) -> DataFrame:
 
 
 def _cut(docs: DataFrame, digest: bool) -> DataFrame:
-    rows = R.numbered(docs)
-    runs = R.repeated_windows(rows, BYTES, repeated_anywhere, spare_first=False)
+    rows, runs = R.repeated_windows(docs, BYTES, repeated_anywhere, spare_first=False)
     last = "kept_sha256" if digest else "kept"
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_bytes, n_removed, n_spans, kept = [], [], [], []
-            for text, found in zip(batch.column(1), batch.column(2)):
+            for text, found, rid in zip(batch.column(1), batch.column(2), batch.column(3).to_pylist()):
                 raw = text.as_py().encode()
                 left, spans = raw, 0
                 if found.is_valid and len(found):
-                    places = [(x["start"], x["n"]) for x in found.as_py()]
+                    places = R.runs_of(rid, found)
                     gone = R.covered_symbols(places, BYTES.width, len(raw))
                     left = np.frombuffer(raw, np.uint8)[~gone].tobytes()
                     spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())

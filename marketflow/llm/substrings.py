@@ -1,11 +1,13 @@
 """Repeated passages of words, by suffix trees over prefix groups.
 
 Suffixes are the texts from each word on, of which the first W words count.  They reach a bucket
-through their windows' anchors (:mod:`marketflow.llm.repeats`).  There they are split by prefixes of
-growing length: first by five words, then by ten and so on.  A group of one suffix has no branching
-above it and is dropped, whatever its prefix's length; groups are taken up to a number of suffixes
-that fits into memory.  What is left at depth W are the deep internal nodes of the suffix tree: the
-leaves below one node start with the same W words.  Of each node the earliest leaf stays.
+by their windows' anchors, prefixes of anchors too frequent for one bucket having been lengthened to
+the whole window before anything is loaded (:mod:`marketflow.llm.repeats`).  In a bucket suffixes are
+split by prefixes of variable length: of five words first, and of five more wherever a group still has
+more suffixes than a subtree may hold.  A group of one suffix has no branching above it and is dropped.
+Each remaining group is a subtree: its suffixes in order, with the words that neighbours have in common.
+Where these are W or more lies an internal node of depth W; the leaves below it are a repeat, and the
+earliest of them stays.
 """
 
 from __future__ import annotations
@@ -19,80 +21,76 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from marketflow.llm import repeats as R
-from marketflow.llm.blocks import SEPARATORS, mix, word_hashes, words
+from marketflow.llm.blocks import SEPARATORS, word_hashes, words
 from marketflow.llm.shipping import arrow_map
 
 WORDS = R.Windows(width=20, anchor=5, of_words=True)
 #: Words by which a prefix grows at a time.
 STEP = 5
-#: Suffixes in memory at a time, whole prefix groups (one larger group goes alone).
-GROUP = 1 << 20
+#: Suffixes of a subtree, at most: what is in memory besides the bucket's words.
+GROUP = 1 << 18
 
 
-def deep_nodes(symbols: np.ndarray, sums: np.ndarray, suffixes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(suffix number, node) of suffixes below nodes of depth ``width`` with two leaves or more.
+def prefix_groups(sums: np.ndarray, suffixes: np.ndarray, width: int, most: int) -> Iterator[tuple[np.ndarray, int]]:
+    """Groups of suffix numbers, with the length of the prefix that each of their suffixes shares with
+    another one; neighbouring groups come together as long as they have up to ``most`` suffixes.
 
-    Suffixes of a node come in the order they were given in.  ``sums`` are the hash sums of
-    ``symbols``; prefixes are compared by hash first, and the leaves of a node symbol by symbol at last.
+    A prefix grows only in groups of more than ``most``; one of full length is given as it is.  Suffixes
+    keep their order.  ``sums`` are the hash sums of the words.
     """
-
-    def key(some: np.ndarray, depth: int) -> np.ndarray:
+    todo = [(np.arange(len(suffixes)), 0)]
+    while todo:
+        some, depth = todo.pop()
         n = min(STEP, width - depth)
-        return R.range_hashes(sums, suffixes[some] + depth, suffixes[some] + depth + n, R.WORD_BASE)
-
-    def grouped(order: np.ndarray, sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Without groups of one; (suffixes, group numbers)."""
-        new = np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]])
-        group = np.cumsum(new) - 1
-        many = (np.bincount(group) > 1)[group]
-        return order[many], np.unique(group[many], return_inverse=True)[1]
-
-    none = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if not len(suffixes):
-        return none
-    first = key(np.arange(len(suffixes)), 0)
-    order = np.argsort(first, kind="stable")
-    order, group = grouped(order, first[order])
-    out_suffix, out_node, nodes = [], [], 0
-    ends = np.flatnonzero(np.diff(group)) + 1 if len(group) else np.zeros(0, np.int64)
-    ends = np.concatenate([ends, [len(group)]])
-    begin = 0
-    while begin < len(group):
-        end = int(ends[np.searchsorted(ends, begin + GROUP, "left")]) if begin + GROUP < len(group) else len(group)
-        some, prefix = order[begin:end], group[begin:end] - group[begin]
-        begin = end
-        for depth in range(STEP, width, STEP):
-            if not len(some):
-                break
-            k = mix(key(some, depth) + mix(prefix.astype(np.uint64)))
-            again = np.argsort(k, kind="stable")
-            some, prefix = grouped(some[again], k[again])
-        if not len(some):
-            continue
-        some, prefix = _confirmed(symbols, suffixes, some, prefix, width)
-        out_suffix.append(some)
-        out_node.append(prefix + nodes)
-        nodes += int(prefix[-1]) + 1 if len(prefix) else 0
-    return (np.concatenate(out_suffix), np.concatenate(out_node)) if out_suffix else none
-
-
-def _confirmed(symbols, suffixes, some, node, width):
-    """Leaves that truly start like their node's first leaf; others, were hashes to meet, by themselves."""
-    lead = some[np.searchsorted(node, np.arange(node[-1] + 1))][node]
-    same = np.ones(len(some), bool)
-    for k in range(width):
-        same &= symbols[suffixes[some] + k] == symbols[suffixes[lead] + k]
-    if same.all():
-        return some, node
-    bad = np.isin(node, np.unique(node[~same]))
-    parts: dict[tuple, list[int]] = {}
-    for x, n in zip(some[bad].tolist(), node[bad].tolist()):
-        parts.setdefault((n, symbols[suffixes[x] : suffixes[x] + width].tobytes()), []).append(x)
-    some, node = some[~bad], node[~bad]
-    top = int(node[-1]) + 1 if len(node) else 0
-    for k, leaves in enumerate(x for x in parts.values() if len(x) > 1):
-        some, node = np.concatenate([some, leaves]), np.concatenate([node, np.full(len(leaves), top + k)])
-    return some, np.unique(node, return_inverse=True)[1] if len(node) else node
+        key = R.range_hashes(sums, suffixes[some] + depth, suffixes[some] + depth + n, R.WORD_BASE)
+        order = np.argsort(key, kind="stable")
+        some, key, depth = some[order], key[order], depth + n
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        size = np.diff(first, append=len(key))
+        small = (size > 1) & (size <= most)
+        for x, m in zip(first[size > most].tolist(), size[size > most].tolist()):
+            if depth == width:
+                yield some[x : x + m], depth
+            else:
+                todo.append((some[x : x + m], depth))
+        rest, ends = some[np.repeat(small, size)], np.cumsum(size[small])
+        begin = 0
+        while begin < len(rest):
+            end = int(ends[np.searchsorted(ends, begin + most, "right") - 1])
+            yield rest[begin:end], depth
+            begin = end
+
+
+def subtree(symbols: np.ndarray, suffixes: np.ndarray, some: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes ``some`` in ascending order of their words, equal ones as given, and how many of the
+    first ``width`` words each has in common with the one before."""
+    at = suffixes[some]
+    columns = [symbols[at + k] for k in range(width)]
+    keys = [(columns[k].astype(np.uint64) << np.uint64(32)) | columns[k + 1].astype(np.uint64) for k in range(0, width - 1, 2)]
+    keys += columns[len(keys) * 2 :]
+    order = np.lexsort(keys[::-1])
+    same, common = np.arange(len(order)) > 0, np.zeros(len(order), np.int64)
+    for column in columns:
+        ranked = column[order]
+        same[1:] &= ranked[1:] == ranked[:-1]
+        common += same
+    return some[order], common
+
+
+def deep_nodes(symbols: np.ndarray, sums: np.ndarray, suffixes: np.ndarray, width: int, most: int = GROUP) -> tuple[np.ndarray, np.ndarray]:
+    """(suffix number, node) of suffixes below internal nodes of depth ``width``, those of a node in the
+    order they were given in."""
+    out, node, nodes = [], [], 0
+    for some, _ in prefix_groups(sums, suffixes, width, most):
+        ranked, common = subtree(symbols, suffixes, some, width)
+        number = np.cumsum(common < width) - 1
+        many = (np.bincount(number) > 1)[number]
+        if many.any():
+            out.append(ranked[many])
+            node.append(number[many] + nodes)
+            nodes += int(number[-1]) + 1
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(out), np.concatenate(node)) if out else (none, none)
 
 
 def later_leaves(found: R.Segments) -> np.ndarray:
@@ -118,8 +116,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     Earlier means a smaller doc_id (null first), or an earlier place in the same text; rows of one
     doc_id are ordered as read.
     """
-    rows = R.numbered(docs)
-    runs = R.repeated_windows(rows, WORDS, later_leaves, spare_first=True)
+    rows, runs = R.repeated_windows(docs, WORDS, later_leaves, spare_first=True)
     return R.spans(rows, runs, WORDS.width)
 
 
@@ -139,8 +136,7 @@ def repeat_report(docs: DataFrame) -> DataFrame:
 
 
 def _cut(docs: DataFrame, digest: bool) -> DataFrame:
-    rows = R.numbered(docs)
-    runs = R.repeated_windows(rows, WORDS, later_leaves, spare_first=True)
+    rows, runs = R.repeated_windows(docs, WORDS, later_leaves, spare_first=True)
     last = "kept_sha256" if digest else "kept_text"
     # bytes.split() without arguments splits at exactly these
     assert sorted(SEPARATORS) == [9, 10, 11, 12, 13, 32]
@@ -148,11 +144,11 @@ def _cut(docs: DataFrame, digest: bool) -> DataFrame:
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_removed, kept = [], [], []
-            for text, found in zip(batch.column(1), batch.column(2)):
+            for text, found, rid in zip(batch.column(1), batch.column(2), batch.column(3).to_pylist()):
                 every = text.as_py().encode().split()
                 left = every
                 if found.is_valid and len(found):
-                    spans = [(x["start"], x["n"]) for x in found.as_py()]
+                    spans = R.runs_of(rid, found)
                     left = list(compress(every, (~R.covered_symbols(spans, WORDS.width, len(every))).tolist()))
                 line = b" ".join(left)
                 n_words.append(len(every))

@@ -94,6 +94,38 @@ def test_empty_table(spark):
     assert rows(substrings.repeat_report(make_docs(spark, [(1, None)])), "n_words", "n_removed") == [(0, 0)]
 
 
+def common(seed):
+    """Texts that share a frequent anchor: a short line, whole copies and passages around it."""
+    rng = random.Random(seed)
+    line, passage = text_of(12, 77), text_of(110, 78)
+    docs = []
+    for d in range(80):
+        before = " ".join(text_of(30, 4).split()[rng.randrange(25) :])  # a few ways to reach the line
+        text = before + " " + line + " " + text_of(rng.randrange(1, 30), 1000 + d % 50)
+        docs.append((d, text + (" " + passage if d % 4 == 0 else "")))
+    docs += [(200 + d, docs[3][1]) for d in range(20)]
+    docs += [(None, docs[5][1]), (None, docs[5][1]), (7, docs[7][1])]
+    return docs
+
+
+def test_hot_anchors(spark, monkeypatch):
+    """Anchors in more than ten places are dealt by whole windows, here more than half of all."""
+    docs = common(1)
+    df = make_docs(spark, docs).repartition(6)
+    want = brute_words(docs), brute_bytes(docs)
+    monkeypatch.setattr(R, "HOT_SHARE", 0)
+    for least in (10, 1, 1 << 30):
+        monkeypatch.setattr(R, "HOT_LEAST", least)
+        assert rows(substrings.repeat_report(df)) == want[0]
+        assert rows(bytepassages.string_report(df)) == want[1]
+
+
+def test_buckets_follow_the_places(spark, monkeypatch):
+    docs = common(2)
+    monkeypatch.setattr(R, "BUCKET_BYTES", 1 << 12)
+    assert rows(substrings.repeat_report(make_docs(spark, docs))) == brute_words(docs)
+
+
 def test_kept_texts_and_spans(spark):
     passage = text_of(40, 1)
     df = make_docs(spark, [(1, passage + " end"), (2, "begin " + passage)])
@@ -106,35 +138,59 @@ def test_kept_texts_and_spans(spark):
     ]
 
 
-def test_tree_groups_in_pieces(monkeypatch):
-    monkeypatch.setattr(substrings, "GROUP", 7)
-    rng = np.random.default_rng(3)
+def tree_of(seed):
+    rng = np.random.default_rng(seed)
     symbols = rng.integers(0, 2, 400)
     symbols[200:300] = symbols[50:150]
     hashes = rng.integers(1, 1 << 60, 2, dtype=np.uint64)[symbols]
-    sums = R.prefix_sums(hashes, R.WORD_BASE)
-    suffixes = np.arange(381)
-    suffix, node = substrings.deep_nodes(symbols, sums, suffixes, 20)
-    found = collections.defaultdict(list)
-    for s, n in zip(suffix.tolist(), node.tolist()):
-        found[n].append(s)
+    return symbols, R.prefix_sums(hashes, R.WORD_BASE), np.arange(381)
+
+
+def test_prefixes_grow_where_groups_are_too_large():
+    symbols, sums, suffixes = tree_of(3)
+    depths = set()
+    for most in (1, 7, 1000):
+        found = [(some, depth) for some, depth in substrings.prefix_groups(sums, suffixes, 20, most)]
+        assert all(len(some) <= most or depth == 20 for some, depth in found)
+        depths.add((most, tuple(sorted({d for _, d in found}))))
+        seen = np.concatenate([some for some, _ in found])
+        assert len(set(seen.tolist())) == len(seen)
+    assert depths == {(1, (20,)), (7, (5, 10)), (1000, (5,))}
+
+
+def test_subtrees_are_sorted_suffixes_with_common_prefixes():
+    symbols, sums, suffixes = tree_of(5)
+    ranked, common = substrings.subtree(symbols, suffixes, suffixes[::-1], 20)
+    texts = [tuple(symbols[i : i + 20].tolist()) for i in ranked.tolist()]
+    assert texts == sorted(texts)
+    for x, y, n in zip(texts, texts[1:], common[1:].tolist()):
+        assert x[:n] == y[:n] and (n == 20 or x[n] != y[n])
+    assert all(a > b for a, b, n in zip(ranked, ranked[1:], common[1:]) if n == 20)  # equal ones as given
+
+
+def test_deep_nodes_whatever_a_subtree_may_hold():
+    symbols, sums, suffixes = tree_of(3)
     want = collections.defaultdict(list)
-    for i in suffixes:
-        want[symbols[i : i + 20].tobytes()].append(int(i))
-    assert sorted(found.values()) == sorted(v for v in want.values() if len(v) > 1)
+    for i in suffixes.tolist():
+        want[symbols[i : i + 20].tobytes()].append(i)
+    for most in (1, 7, 1 << 18):
+        suffix, node = substrings.deep_nodes(symbols, sums, suffixes, 20, most)
+        found = collections.defaultdict(list)
+        for s, n in zip(suffix.tolist(), node.tolist()):
+            found[n].append(s)
+        assert sorted(found.values()) == sorted(v for v in want.values() if len(v) > 1)
 
 
 def test_merged_transform_is_the_whole_one():
     rng = np.random.default_rng(4)
     windows = rng.integers(0, 3, (500, 4)).astype(np.uint64)
-    parts = np.array_split(windows, [100, 100, 230])
-    merged = bwt.merge([bwt.transform(list(p.T)) for p in parts])
-    orders = [bwt.transform(list(p.T)).order for p in parts]
-    at = [0] * len(parts)
-    ranked = []
-    for s in merged.shard.tolist():
-        ranked.append(tuple(parts[s][orders[s][at[s]]].tolist()))
-        at[s] += 1
+    whole = bwt.transform(list(windows.T), np.arange(500))
+    parts = np.split(np.arange(500), [100, 100, 230, 231])
+    merged = bwt.merge([bwt.transform(list(windows[p].T), p) for p in parts])
+    for a, b in zip([*whole.columns, *whole.deal], [*merged.columns, *merged.deal]):
+        assert (a == b).all()
+    assert (merged.order == whole.order).all() and (merged.common == whole.common).all()
+    ranked = [tuple(windows[i].tolist()) for i in merged.order]
     assert ranked == sorted(map(tuple, windows.tolist()))
-    assert len(set(merged.interval.tolist())) == len(set(ranked))
-    assert all((a == b) == (x == y) for a, b, x, y in zip(ranked, ranked[1:], merged.interval, merged.interval[1:]))
+    for x, y, n in zip(ranked, ranked[1:], merged.common[1:].tolist()):
+        assert x[:n] == y[:n] and (n == 4 or x[n] != y[n])
