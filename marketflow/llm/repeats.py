@@ -39,6 +39,7 @@ from marketflow.llm.blocks import (
     mix,
     prefix_sums,
     range_hashes,
+    slices,
     text_slices,
     word_hashes,
     words,
@@ -457,8 +458,11 @@ def _distinct(data: np.ndarray, at: np.ndarray, rank: np.ndarray, twice: np.ndar
     Batches send equal segments of their own once; here those of different batches meet.  They are told
     apart by size and hash, and compared byte by byte with the first one.
     """
-    sums = prefix_sums(data.astype(np.uint64) + np.uint64(1), BYTE_BASE)
-    digest = range_hashes(sums, at[:-1], at[1:], BYTE_BASE)[rank]
+    digest = np.empty(len(at) - 1, np.uint64)
+    for a, b in slices(at, 1 << 22):  # hash sums take many times the bytes that they are of
+        sums = prefix_sums(data[at[a] : at[b]].astype(np.uint64) + np.uint64(1), BYTE_BASE)
+        digest[a:b] = range_hashes(sums, at[a:b] - at[a], at[a + 1 : b + 1] - at[a], BYTE_BASE)
+    digest = digest[rank]
     order = np.argsort(digest, kind="stable")
     lead = order[np.maximum.accumulate(np.where(np.concatenate([[True], np.diff(digest[order]) != 0]), np.arange(len(order)), 0))]
     first, other = rank[lead], rank[order]
