@@ -124,3 +124,58 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, seed: i
     drawn = percent * places.count() // 100
     ranks = places.where(F.col("place") < drawn).select("tag", (F.col("place") + 1).alias("rank"))
     return scored.join(ranks, "tag", "left").select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def _oracle() -> str:
+    """The same by exploded features and one sort; checksums by four bits at a time."""
+    nibble = []
+    for v in range(16):
+        for _ in range(4):
+            v = (v >> 1) ^ (0xEDB88320 if v & 1 else 0)
+        nibble.append(v)
+
+    def half(x: str) -> str:
+        return f"xor(({x}) >> 4, {nibble}[(({x}) & 15) + 1])"
+
+    return f"""
+WITH texts AS (
+  SELECT doc_id, false AS target, text FROM documents UNION ALL SELECT item_id, true, text FROM benchmark
+), split AS (
+  SELECT doc_id, target,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w
+  FROM texts
+), runs AS (
+  SELECT doc_id, target, array_to_string(w[i:i + n - 1], ' ') AS f
+  FROM (SELECT doc_id, target, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM split, (SELECT unnest([1, 2, 3]) AS n))
+), codes AS (
+  SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM runs)
+), bytes AS (
+  SELECT f, list_transform(range(1, len(h), 2), lambda i: ('0x' || substr(h, i, 2))::BIGINT) AS b FROM codes
+), hashed AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda c, x: {half(half("xor(c, x)"))}), 4294967295) % 10000 AS bucket
+  FROM bytes
+), found AS (
+  SELECT doc_id, target, bucket, count(*) AS n FROM runs JOIN hashed USING (f) GROUP BY ALL
+), shares AS (
+  SELECT bucket, coalesce(sum(n) FILTER (target), 0) AS t, coalesce(sum(n) FILTER (NOT target), 0) AS s FROM found GROUP BY bucket
+), totals AS (
+  SELECT coalesce(sum(t), 0) AS tt, coalesce(sum(s), 0) AS ss FROM shares
+), gains AS (
+  SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (ss + 10000)::DOUBLE) / ((s + 1)::DOUBLE * (tt + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM shares, totals
+), weights AS (
+  SELECT doc_id, sum(n) AS n_features, sum(n * gain) AS weight FROM found JOIN gains USING (bucket) WHERE NOT target GROUP BY doc_id
+), scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM split LEFT JOIN weights USING (doc_id) WHERE NOT target
+), placed AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_words >= {LEAST_WORDS}
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= {PERCENT} * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN placed USING (doc_id)
+"""
+
+
+ORACLE = _oracle()

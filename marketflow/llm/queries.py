@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketflow.llm import decontaminate, substrings, vectorcodes, vectordups
+from marketflow.llm import decontaminate, importance, substrings, vectorcodes, vectordups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -108,11 +108,9 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return B.string_report(table(spark, folder, "documents"))
 
 
-@query("op11_importance_resampling")
+@query("op11_importance_resampling", importance.ORACLE)
 def op11(spark: SparkSession, folder: str) -> DataFrame:
-    from marketflow.llm import importance as I
-
-    return I.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
 @query("op13_vector_codes", vectorcodes.ORACLE)
