@@ -4,9 +4,11 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import numpy as np
 import xxhash
+from conftest import plan
 from llm_fixtures import make_docs, odd_rows, rows, text_of  # noqa: F401
 from pyspark.sql import functions as F
 
@@ -21,19 +23,32 @@ ASSIGN = re.compile(
 )
 
 
-def entropy_spans(text, cls):
+ALLOWED = re.compile(
+    r"example|changeme|placeholder|dummy|sample|your[_-]|abcdefghij|0123456789|1234567890|9876543210|qwertyuiop"
+    r"|(?-i:[0-9]{24,}|(.)\1{7,})", re.I
+)
+
+
+def entropy_spans(text, cls, allowed=ALLOWED):
     out = []
     for m in re.finditer(f"[{cls.characters}]{{{cls.width},}}", text):
         s = m.group()
+        named = [(x.start(), x.end()) for x in allowed.finditer(s)] if allowed else []
         for i in range(len(s) - cls.width + 1):
             window = s[i : i + cls.width]
             h = -sum(window.count(c) / cls.width * math.log2(window.count(c) / cls.width) for c in set(window))
-            if h >= cls.least:
-                a, b = m.start() + i, m.start() + i + cls.width
-                if out and out[-1][1] >= a:
-                    out[-1][1] = b
-                else:
-                    out.append([a, b])
+            if h >= cls.least and not any(x < i + cls.width and y > i for x, y in named):
+                out.append([m.start() + i, m.start() + i + cls.width])
+    return out
+
+
+def united(spans):
+    out = []
+    for a, b in sorted(spans):
+        if out and out[-1][1] >= a:
+            out[-1][1] = max(b, out[-1][1])
+        else:
+            out.append([a, b])
     return out
 
 
@@ -45,18 +60,8 @@ def brute_secrets(text):
     base.sort()
     extra = []
     for cls in secrets.CLASSES:
-        extra += entropy_spans(text, cls)
-    allowed = re.compile("|".join(f"(?:{a})" for a in secrets.ALLOWED).replace("(?i)", ""), re.I)
-    extra = sorted(
-        [a, b] for a, b in extra
-        if not allowed.search(text[a:b]) and not any(s <= a and e >= b for s, _, _, e in base)
-    )
-    joined = []
-    for a, b in extra:
-        if joined and joined[-1][1] >= a:
-            joined[-1][1] = max(b, joined[-1][1])
-        else:
-            joined.append([a, b])
+        extra += united(entropy_spans(text, cls))
+    joined = united(x for x in extra if not any(s <= x[0] and e >= x[1] for s, _, _, e in base))
     spans = sorted(base + [(a, 3, "entropy", b) for a, b in joined])
     line = ",".join(f"{k}:{a}:{b}" for a, _, k, b in base)
     count = [sum(k == kind for _, _, k, _ in base) for kind in ("assign", "access", "hex")]
@@ -87,11 +92,31 @@ def test_secrets(spark, odd_rows):
     assert any("entropy" in r[-1] for r in got)
 
 
-def test_secrets_stay_without_allow_list(spark):
-    text = "example" + "Zq8Lw1Xy7Rt5Pk3Mn9Bv2Cd4"
-    df = make_docs(spark, [(1, text)])
-    assert secrets.secret_report(df).first()["spans"] == ""
-    assert secrets.with_secret_spans(df, allowed=()).selectExpr("size(secret_spans) n").first()["n"] == 1
+def test_allowed_stretches_hide_no_secret_beside_them(spark):
+    random_part = "Zq8Lw1Xy7Rt5Pk3Mn9Bv2Cd4"
+    texts = ["example" + random_part, random_part[:12] + "dummy" + random_part[12:], "=" * 30 + random_part + "A" * 9]
+    df = make_docs(spark, list(enumerate(texts)))
+    got = rows(secrets.secret_report(df), "doc_id", "spans")
+    assert got == [(0, "entropy:7:31"), (1, ""), (2, "entropy:30:54")]
+    every = rows(secrets.with_secret_spans(df, allowed=()).selectExpr("doc_id", "size(secret_spans) n"))
+    assert every == [(0, 1), (1, 1), (2, 1)]
+
+
+def test_long_candidates_and_many_spans(spark):
+    """A run of a million characters, and thousands of short secrets in one text, end in seconds."""
+    rng = random.Random(9)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    middle = "".join(rng.choice(letters) for _ in range(3000)) + "sample" + "".join(rng.choice("0123456789abcdef") for _ in range(2000))
+    many = " ".join(f"token={rng.randrange(10**9, 10**10)}" for _ in range(700))
+    docs = [(1, "é" + middle + " x " + middle.lower()), (2, many + "\n" + middle[:300])]
+    assert rows(secrets.secret_report(make_docs(spark, docs))) == [(d, *brute_secrets(t)) for d, t in docs]
+    run = "".join(rng.choice(letters) for _ in range(1_000_000))
+    df = make_docs(spark, [(1, "key " + run + " end"), (2, "token=abcdefgh1234 " * 20_000)])
+    began = time.monotonic()
+    found = secrets.redact_secrets(df).orderBy("doc_id").collect()
+    assert time.monotonic() - began < 60
+    assert len(found[0]["text"]) < 1000 and found[1]["text"] == "[secret] " * 20_000
+    assert not re.search("python|arrow|pandas", plan(secrets.secret_report(df)), re.I)
 
 
 def test_redaction(spark):
