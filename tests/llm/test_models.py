@@ -11,7 +11,7 @@ import pytest
 from llm_fixtures import make_docs, odd_rows, rows, text_of  # noqa: F401
 from pyspark.sql import functions as F
 
-from marketflow.llm import gru, langid, pieces, queries, token_files, toxicity
+from marketflow.llm import gru, langid, pieces, queries, samples, token_files, toxicity
 from marketflow.llm.blocks import text_slices
 
 PIECES = queries.tokenizer_path("piece_bpe_32k.model")
@@ -119,7 +119,8 @@ def spoken(lang, n, seed):
 
 
 def brute_phrases(parser, text, learned):
-    s, own, n = bytes(parser.symbols(text).tolist()), bytes(parser.symbols(learned).tolist()), 0
+    s, own = ("".join(map(chr, parser.symbols(t).tolist())) for t in (text, learned))
+    n = 0
     for a in range(0, len(s), langid.BLOCK):
         block, i = s[a : a + langid.BLOCK], 0
         while i < len(block):
@@ -160,6 +161,76 @@ def test_languages(spark, odd_rows):
     assert {r["lang_pred"] for r in langid.identify(df, nothing).collect()} == {"und"}
 
 
+def test_labelled_sample_is_the_same_however_rows_are_dealt(spark):
+    docs = spark.createDataFrame([(i, f"t{i}", i >= 450) for i in range(500)], "doc_id long, text string, odd boolean")
+    labels = spark.createDataFrame([(i, int(i >= 400)) for i in range(500)] + [(3, 1), (None, 1), (9, None)], "doc_id long, y int")
+    both = labels.join(docs.select("doc_id", "odd"), "doc_id")
+    found = [
+        rows(samples.labelled_sample(docs, both.repartition(n), "y", 60, F.col("doc_id") != 7, "odd"), "doc_id", "y")
+        for n in (1, 9)
+    ]
+    assert found[0] == found[1]
+    by_label = [{d for d, y in found[0] if y == k} for k in (0, 1)]
+    assert [len(x) for x in by_label] == [60, 60] and 7 not in by_label[0] and 3 not in by_label[0]
+    # rows that come later fill up what the others leave: 51 of label 1 (400 to 449 and 3), then 9 of 450 to 499
+    assert len([d for d in by_label[1] if d >= 450]) == 9
+    few = samples.labelled_sample(docs, spark.range(500).selectExpr("id AS doc_id", "id % 200 AS y"), "y", 1)
+    assert few.count() == 200  # one of each value, however many there are
+
+
+SCRIPTS = {
+    "de": "der die das und ist nicht mit einem Haus am großen Fluss wird immer wieder schön gesehen",
+    "en": "the and of is not with a house at the big river that will always be seen again and again",
+    "ja": "日本語の文章はひらがなとカタカナと漢字で書かれている東京の川のそばに大きな家があります",
+    "ko": "한국어 문장은 한글로 쓰여 있다 서울의 강 옆에 큰 집이 있고 사람들은 언제나 그곳을 다시 본다",
+    "zh": "中文的句子用汉字写成北京的河边有一座大房子人们总是一再看到它并且非常喜欢这个地方",
+    "ru": "русский текст написан буквами у большой реки стоит дом и люди всегда снова видят его",
+}
+
+
+def written(name, n, seed):
+    """Words, or single characters, of a language in random order, with many characters of its script."""
+    rng = random.Random(f"{name}{seed}")
+    units = SCRIPTS[name].split() if " " in SCRIPTS[name] else list(SCRIPTS[name])
+    block = {"zh": 0x4E00, "ja": 0x3041, "ko": 0xAC00}.get(name)
+    wide = [chr(block + rng.randrange(80 if name == "ja" else 900)) for _ in range(n // 4)] if block else []
+    out = [rng.choice(units) for _ in range(n)] + wide
+    rng.shuffle(out)
+    return ("" if name in ("zh", "ja") else " ").join(out)
+
+
+def test_every_script_is_told_apart_letter_by_letter():
+    texts = {k: [written(k, 120, i) for i in range(40)] for k in SCRIPTS}
+    model = langid.fit_languages(texts, learned_chars=3000)
+    parser = langid.CrossParser(model.texts)
+    assert (parser.symbol >= langid.FIRST + langid.DENSE).sum() > 600  # far more letters than the dense table has
+    own = {c.lower() for t in model.texts for c in t if c.isalpha()}
+    assert all(parser.symbol[ord(c)] >= langid.FIRST for c in own if len(c) == 1)
+    tests = [(k, written(k, 40, 1000 + i)) for k in SCRIPTS for i in range(10)]
+    for a, b, data, at in text_slices(pa.array([t for _, t in tests])):
+        phrases, size, letters = parser.count(data, at)
+        assert [langs for langs in langid.decide(model, phrases, size, letters)[0]] == [k for k, _ in tests[a:b]]
+    for k, (_, t) in enumerate(tests[::7]):
+        assert phrases[:, 7 * k].tolist() == [brute_phrases(parser, t, own) for own in model.texts]
+
+
+def test_languages_of_short_or_long_texts_and_many_languages(spark):
+    rng = random.Random(5)
+    docs = [(i, spoken("aa", 4, i), "short") for i in range(60)]  # fewer than 100 characters each
+    docs += [(100 + i, spoken("bb", 6000, i), "long") for i in range(12)]  # more than 20,000
+    docs += [(200 + i, spoken("cc", 60, i), "plain") for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = langid.learn_languages(df)
+    assert model.languages == ["long", "plain", "short"] and max(map(len, model.texts)) <= 32_000
+    tests = [(1000, spoken("aa", 5, 99), "short"), (1001, spoken("bb", 50, 99), "long"), (1002, spoken("cc", 50, 99), "plain")]
+    got = langid.identify(spark.createDataFrame(tests, df.schema), model).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == {d: k for d, _, k in tests}
+    many = [(i, spoken("aa", 30, i), f"l{i % 150}") for i in range(600)]
+    rng.shuffle(many)
+    model = langid.learn_languages(spark.createDataFrame(many, df.schema), sample_rows=2)
+    assert len(model.languages) == 150
+
+
 # --- toxicity -----------------------------------------------------------------------------------
 
 
