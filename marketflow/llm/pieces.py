@@ -170,6 +170,9 @@ class PieceEncoder:
 
     def __init__(self, model: PieceModel, most: int = 400_000):
         self.model, self.most = model, most
+        #: Ids are remembered in as few bytes as the model needs.
+        self.code = "H" if len(model.text_of) <= 1 << 16 else "I"
+        self.kind = np.dtype(np.uint16 if self.code == "H" else np.uint32)
         self.known: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
@@ -179,7 +182,7 @@ class PieceEncoder:
             if len(self.parts) > self.most:
                 self.parts.clear()
             search = StreamingViterbi(self.model)
-            code = self.parts[part] = array("H", search.feed(part) + search.finish()).tobytes()
+            code = self.parts[part] = array(self.code, search.feed(part) + search.finish()).tobytes()
         return code
 
     def _word(self, word: str) -> bytes:
@@ -193,7 +196,7 @@ class PieceEncoder:
         return b"".join(out)
 
     def encode(self, texts: Sequence[bytes]) -> list[bytes]:
-        """Little-endian 16-bit ids of UTF-8 texts."""
+        """Ids of UTF-8 texts, as the bytes of numbers of ``kind``."""
         mark = SPACE.encode()
         texts = [t.replace(mark, b" ") if mark in t else t for t in texts]
         plain = [not (t[:1] == b" " or t[-1:] == b" " or b"  " in t) for t in texts]
@@ -239,8 +242,8 @@ def encode_texts(docs: DataFrame, model_path: str, keep: Sequence[str] = ("doc_i
             for a, b, data, at in text_slices(batch.column(len(keep))):
                 raw = data.tobytes()
                 lists = coder.encode([raw[at[i] : at[i + 1]] for i in range(b - a)])
-                sizes = np.array([len(x) // 2 for x in lists], np.int64)
-                flat = np.frombuffer(b"".join(lists), "<u2").astype(np.int32)
+                sizes = np.array([len(x) // coder.kind.itemsize for x in lists], np.int64)
+                flat = np.frombuffer(b"".join(lists), coder.kind).astype(np.int32)
                 ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
                 part = batch.slice(a, b - a)

@@ -161,6 +161,16 @@ def test_languages(spark, odd_rows):
     assert {r["lang_pred"] for r in langid.identify(df, nothing).collect()} == {"und"}
 
 
+def test_ids_of_a_model_of_many_pieces():
+    model, texts = pieces.PieceModel.load(PIECES), [t.encode() for t in (*ODD, *mixed(20, 8))]
+    few = pieces.PieceEncoder(model)
+    want = [np.frombuffer(x, few.kind).tolist() for x in few.encode(texts)]
+    model.text_of += [b""] * (1 << 16)
+    many = pieces.PieceEncoder(model)
+    assert (few.kind.itemsize, many.kind.itemsize) == (2, 4)
+    assert [np.frombuffer(x, many.kind).tolist() for x in many.encode(texts)] == want
+
+
 def test_labelled_sample_is_the_same_however_rows_are_dealt(spark):
     docs = spark.createDataFrame([(i, f"t{i}", i >= 450) for i in range(500)], "doc_id long, text string, odd boolean")
     labels = spark.createDataFrame([(i, int(i >= 400)) for i in range(500)] + [(3, 1), (None, 1), (9, None)], "doc_id long, y int")
