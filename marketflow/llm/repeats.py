@@ -49,7 +49,7 @@ from marketflow.session import stored
 
 NEVER = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Buckets for each shuffle partition, at least.
-BUCKETS_PER_PARTITION = 2
+BUCKETS_PER_PARTITION = 4
 #: Bytes of segments that a bucket is to hold on average (a place sends about three windows' bytes).
 BUCKET_BYTES = 64 << 20
 #: An anchor is hot if it stands in more places than this share of a bucket's average, and in so many at least.
