@@ -13,9 +13,10 @@ from marketflow.suite.registry import query
 
 
 def _stream(t, name: str):
-    """The table's file as a stream."""
+    """The table's files as a stream."""
     schema = getattr(t, name).schema
-    return t.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(t.folder)
+    # A stream refuses the plain path of one file; as a pattern, the path is a file's or a folder's alike.
+    return t.spark.readStream.schema(schema).parquet(t.path(name)[:-1] + "[t]")
 
 
 def _lines(t):
