@@ -18,7 +18,7 @@ def folder(spark, sf_dir, tmp_path_factory):
     return out
 
 
-@pytest.mark.parametrize("name", ["st_04_word_counts", "st_05_windowed_word_counts", "st_03_parse_quotes", "jn_18_stream_static_join"])
+@pytest.mark.parametrize("name", ["st_04_word_counts", "st_05_windowed_word_counts", "st_12_weighted_word_counts", "st_03_parse_quotes", "jn_18_stream_static_join"])
 def test_stream_over_a_folder(spark, sf_dir, folder, name):
     assert differences(QUERIES[name](spark, folder), duck(sf_dir), SQL[name]) == []
 
