@@ -1,5 +1,6 @@
 """Streams over tables that are folders of several files, as large tables are."""
 
+import duckdb
 import pytest
 from compare import differences, duck
 
@@ -18,11 +19,27 @@ def folder(spark, sf_dir, tmp_path_factory):
     return out
 
 
-@pytest.mark.parametrize("name", ["st_04_word_counts", "st_05_windowed_word_counts", "st_12_weighted_word_counts", "st_03_parse_quotes", "jn_18_stream_static_join"])
+@pytest.mark.parametrize(
+    "name",
+    [
+        "st_04_word_counts", "st_05_windowed_word_counts", "st_12_weighted_word_counts", "st_03_parse_quotes",
+        "jn_18_stream_static_join",
+    ],
+)
 def test_stream_over_a_folder(spark, sf_dir, folder, name):
     assert differences(QUERIES[name](spark, folder), duck(sf_dir), SQL[name]) == []
 
 
+def test_closed_windows_of_a_folder(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    spread = docs.withColumn("doc_id", docs["doc_id"] * 20).repartition(3)  # so that some windows are closed
+    spread.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    name = "st_07_watermarked_word_counts"
+    assert differences(QUERIES[name](spark, str(tmp_path)), con, SQL[name]) == []
+
+
 def test_state_is_on_disk(spark, sf_dir):
     path = f"{sf_dir}/documents.parque[t]"
     docs = spark.readStream.schema("doc_id long, text string").parquet(path).selectExpr("text", "timestamp_seconds(doc_id) ts")
