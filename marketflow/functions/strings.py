@@ -18,6 +18,25 @@ def words(col, sep: str = " ") -> Column:
     return F.split(col, sep)
 
 
+def word_counts(col, sep: str = " ") -> Column:
+    """Array of (word, n): each separated word once, with its count in this value; null for null.
+
+    The words are sorted, so that equal ones are neighbours; an array of one element, transformed,
+    gives its expression a name, or it would be computed for every word.
+    """
+
+    def of_sorted(s: Column) -> Column:
+        size = F.size(s)
+        ends = F.filter(F.sequence(F.lit(1), size), lambda i: (i == size) | (F.get(s, i - 1) != F.get(s, i)))
+        return F.transform(F.array(ends), lambda e: F.transform(e, lambda x, i: run(s, e, x, i)))[0]
+
+    def run(s: Column, e: Column, x: Column, i: Column) -> Column:
+        before = F.coalesce(F.get(e, i - 1), F.lit(0))
+        return F.struct(F.get(s, x - 1).alias("word"), (x - before).cast("long").alias("n"))
+
+    return F.when(col.isNotNull(), F.transform(F.array(F.sort_array(words(col, sep))), of_sorted)[0])
+
+
 def join_fields(*cols, sep: str = ",") -> Column:
     """Fields joined as one line; null when any field is null."""
     parts = []
