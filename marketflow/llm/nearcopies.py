@@ -2,10 +2,13 @@
 
 1. Words are lower-cased in ASCII; a text of fewer than five words is one shingle.  Rows with equal
    shingle sets become one node, whatever their number.
-2. Each node gets 32 band keys of four minimum hashes each.  A pair of similarity 0.8 shares no key with
+2. Each node gets the SimHash fingerprint of its set.  Fingerprints within four bits of one another are
+   linked by Golay keys (:mod:`simhash`); nodes of one fingerprint, and the two of each link, are to meet.
+   That finds nearly equal sets only: at 0.8 fingerprints differ in ten bits or so.  For the others each
+   node gets 32 band keys of four minimum hashes each; a pair of similarity 0.8 shares no key with
    probability (1 - 0.8**4)**32 = 5e-8.
-3. The smallest node of a key is its lead.  A node goes with its shingles to each of its leads, once
-   however many keys they share, so that all nodes that share a key meet there.  The nodes of a lead
+3. The smallest node of a fingerprint, link or key is its lead.  A node goes with its shingles to each of
+   its leads, once however many of these they share, so that all nodes that share one meet there.  The nodes of a lead
    that are too many for one task are dealt to blocks by hash, and every two blocks meet in a task.
 4. There one node after the other leads a round: it is compared with the nodes that are not yet of its
    component, exactly where sizes and minimum hashes allow 0.8, the most promising ones first; whole
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from marketflow.llm.blocks import WORD_BASE, mix, prefix_sums, range_hashes, text_slices, word_hashes, words
 from marketflow.llm.components import connected_components
 from marketflow.llm.shipping import arrow_map, fresh_name
-from marketflow.llm.simhash import LOWER
+from marketflow.llm.simhash import LOWER, link_fingerprints, majority
 from marketflow.session import stored
 
 SHINGLE, BANDS, BAND = 5, 32, 4
@@ -86,6 +89,13 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def set_fingerprints(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The SimHash fingerprint of each shingle set; that of the empty set is zero."""
+    hashes = mix(grams)
+    ends = at.tolist()
+    return np.array([majority(hashes[a:b]) for a, b in zip(ends, ends[1:])], np.uint64).view(np.int64)
+
+
 def _mark(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b, data, offsets in text_slices(batch.column(1)):
@@ -97,9 +107,10 @@ def _mark(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     batch.column(0)[a:b],
                     pa.array(node_numbers(grams, at)),
                     pa.array(np.diff(at)),
+                    pa.array(set_fingerprints(grams, at)),
                     pa.ListArray.from_arrays(ends, pa.array(keys.reshape(-1))),
                 ],
-                ["doc_id", "node", "size", "keys"],
+                ["doc_id", "node", "size", "fp", "keys"],
             )
 
 
@@ -190,16 +201,30 @@ def _link(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from linked()
 
 
+def fingerprint_members(nodes: DataFrame) -> DataFrame:
+    """(lead, node, size) of ``nodes`` (node, size, fp): those whose fingerprints are within four bits of
+    one another meet under a lead, directly or over others that do.  The empty set meets none."""
+    own = F.struct("node", "size")
+    prints = nodes.where("size > 0").select("fp", own.alias("own"))
+    groups = stored(prints.groupBy("fp").agg(F.min("own").alias("first"), F.count("*").alias("n")), "near-prints")
+    one = groups.select(F.col("fp").alias("a"), F.col("first").alias("x"))
+    other = groups.select(F.col("fp").alias("b"), F.col("first").alias("y"))
+    linked = link_fingerprints(groups).distinct().join(one, "a").join(other, "b").select("x", "y")
+    linked = linked.select(F.least("x.node", "y.node").alias("lead"), F.explode(F.array("x", "y")).alias("own"))
+    equal = prints.join(groups.where("n > 1"), "fp").select(F.col("first.node").alias("lead"), "own")
+    return equal.unionByName(linked).select("lead", "own.node", "own.size")
+
+
 def similar_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) that connect all nodes of similar shingle sets.
 
-    ``nodes`` has (node, least, size, keys), ``least`` being the doc_id of a row of that node in
+    ``nodes`` has (node, least, size, fp, keys), ``least`` being the doc_id of a row of that node in
     ``texts`` (doc_id, text).
     """
     keyed = nodes.select("node", "size", F.explode("keys").alias("key"))
     groups = keyed.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("n")).where("n > 1")
-    member = keyed.join(groups.select("key", "lead"), "key").select("lead", "node", "size").distinct()
-    member = stored(member, "near-members")
+    member = keyed.join(groups.select("key", "lead"), "key").select("lead", "node", "size")
+    member = stored(member.unionByName(fingerprint_members(nodes)).distinct(), "near-members")
     counts = member.groupBy("lead").agg(F.count("*").alias("n"), F.sum("size").alias("grams"))
     share = F.greatest(F.col("n") / F.lit(BLOCK), F.col("grams") / F.lit(BLOCK_GRAMS))
     large = counts.withColumn("blocks", F.ceil(share).cast("long")).where("blocks > 1").select("lead", "blocks")
@@ -223,9 +248,9 @@ def components_of_similar(docs: DataFrame) -> DataFrame:
     links of similarity 0.8 or more.  Texts without words are near-duplicates of one another.  Repeated
     rows get equal answers; an empty table gives none; other columns are ignored."""
     texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    marked = stored(arrow_map(texts, _mark, "doc_id long, node long, size long, keys array<long>"), "near-marks")
+    marked = stored(arrow_map(texts, _mark, "doc_id long, node long, size long, fp long, keys array<long>"), "near-marks")
     nodes = marked.groupBy("node").agg(
-        F.min("doc_id").alias("least"), F.first("size").alias("size"), F.first("keys").alias("keys")
+        F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in ("size", "fp", "keys")]
     )
     nodes = stored(nodes, "near-nodes")
     roots = connected_components(similar_links(nodes, texts))
