@@ -8,7 +8,9 @@ still be continued; whenever the paths to all of them pass one boundary, the ids
 and are handed out, and the window moves on.
 
 Between two characters that stand side by side in no piece every path has a boundary: there the
-search starts anew, and what lies between two such places is remembered.
+search starts anew, and what lies between two such places is remembered.  Such parts are searched in
+ascending order: the paths to a boundary depend only on the characters before it, so those of the
+beginning that a part shares with the one before it stand already.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +34,11 @@ from marketflow.llm.shipping import arrow_map
 SPACE = "▁"
 BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
+#: Parts up to so many characters are searched in ascending order.
+SHORT = 256
+#: Bytes of text whose new words are learnt together.
+SLICE = 4 << 20
+
 
 class PieceModel:
     """Pieces and scores of a model; greedy merging of short strings."""
@@ -55,8 +63,11 @@ class PieceModel:
                 self.text_of.append(piece.replace(SPACE, " ").encode())
         self.longest = max(map(len, self.ids), default=1)
         self.neighbours = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
-        self.tails = {p[k:] for p in self.ids for k in range(len(p))}
-        self._apart: dict[tuple[str, str], bool] = {}
+        #: True for pieces, False for what is only the end of one.
+        self.tails = {p[k:]: p[k:] in self.ids for p in self.ids for k in range(len(p))}
+        #: What :meth:`apart` has found, by left and right piece.
+        self.beside: dict[str, dict[str, bool]] = {}
+        self._n_beside = 0
 
     @classmethod
     def load(cls, path: str) -> PieceModel:
@@ -86,14 +97,14 @@ class PieceModel:
 
     def apart(self, left: str, right: str) -> bool:
         """Whether merging leaves these two pieces side by side (``left`` empty: leaves ``right`` whole)."""
-        if left and len(left) == len(right) == 1:
-            return left + right not in self.scores
-        key = (left, right)
-        known = self._apart.get(key)
+        known = self.beside.get(left, {}).get(right)
         if known is None:
-            if len(self._apart) > 200_000:
-                self._apart.clear()
-            known = self._apart[key] = self.merge(left + right) == ([left, right] if left else [right])
+            if self._n_beside > 200_000:
+                self.beside.clear()
+                self._n_beside = 0
+            known = self.merge(left + right) == ([left, right] if left else [right])
+            self.beside.setdefault(left, {})[right] = known
+            self._n_beside += 1
         return known
 
     def ids_of(self, piece: str) -> list[int]:
@@ -128,20 +139,42 @@ class StreamingViterbi:
     def _advance(self, text: str) -> None:
         self.text += text
         model, whole, last = self.model, self.text, self.last
-        ids, tails, apart, longest = model.ids, model.tails, model.apart, model.longest
+        kind_of, beside, longest = model.tails.get, model.beside, model.longest
         for end in range(len(last), len(whole) + 1):
             found = None
             for begin in range(end - 1, max(-1, end - longest - 1), -1):
                 piece = whole[begin:end]
-                if piece in ids or end - begin == 1:
+                kind = kind_of(piece)
+                if kind or end - begin == 1:
                     left = last[begin] if begin else self.before
-                    if (left is not None) and apart(left, piece):
-                        found = piece
-                        break
-                if piece not in tails:
+                    if left is not None:
+                        known = beside[left].get(piece) if left in beside else None
+                        if model.apart(left, piece) if known is None else known:
+                            found = piece
+                            break
+                if kind is None:
                     break
             last.append(found)
 
+    def _path(self, boundary: int) -> list[str]:
+        """The pieces up to a boundary, the last one first."""
+        parts = []
+        while boundary > 0:
+            parts.append(self.last[boundary])
+            boundary -= len(parts[-1])
+        return parts
+
+    def restart(self, text: str) -> list[int]:
+        """All ids of another text; boundaries that it shares with the text before stand already.
+
+        For short texts: nothing is committed, so the window is the whole text.
+        """
+        shared = len(commonprefix((self.text, text)))
+        self.text = text[:shared]
+        del self.last[shared + 1 :]
+        self._advance(text[shared:])
+        return [i for p in reversed(self._path(len(text))) for i in self.model.ids_of(p)]
+
     def _meeting(self) -> int:
         """The last boundary on the paths to all boundaries that can still be continued."""
         ends = {e for e in range(max(0, len(self.text) - self.model.longest + 1), len(self.text) + 1)}
@@ -153,11 +186,7 @@ class StreamingViterbi:
         return ends.pop()
 
     def _commit(self, boundary: int) -> list[int]:
-        parts = []
-        at = boundary
-        while at > 0:
-            parts.append(self.last[at])
-            at -= len(self.last[at])
+        parts = self._path(boundary)
         out = [i for p in reversed(parts) for i in self.model.ids_of(p)]
         if parts:
             self.before = parts[0]
@@ -176,24 +205,25 @@ class PieceEncoder:
         self.known: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
-    def _part(self, part: str) -> bytes:
-        code = self.parts.get(part)
-        if code is None:
-            if len(self.parts) > self.most:
-                self.parts.clear()
-            search = StreamingViterbi(self.model)
-            code = self.parts[part] = array(self.code, search.feed(part) + search.finish()).tobytes()
-        return code
-
-    def _word(self, word: str) -> bytes:
-        """Ids of a word with its leading spaces, cut where no piece can reach across."""
-        neighbours, begin, out = self.model.neighbours, 0, []
-        for k in range(1, len(word)):
-            if word[k - 1 : k + 1] not in neighbours:
-                out.append(self._part(word[begin:k]))
-                begin = k
-        out.append(self._part(word[begin:]))
-        return b"".join(out)
+    def _learn(self, parts: set[str]) -> None:
+        """Remember the ids of parts, searched in ascending order."""
+        new = parts.difference(self.parts)
+        if len(self.parts) + len(new) > self.most:
+            self.parts = {p: self.parts[p] for p in parts.difference(new)}
+        shared = StreamingViterbi(self.model)
+        for part in sorted(new):
+            if len(part) <= SHORT:
+                ids = shared.restart(part)
+            else:
+                search = StreamingViterbi(self.model)
+                ids = search.feed(part) + search.finish()
+            self.parts[part] = array(self.code, ids).tobytes()
+
+    def _cut(self, word: str) -> list[str]:
+        """The parts of a word: cut where no piece can reach across."""
+        neighbours = self.model.neighbours
+        cuts = [k for k in range(1, len(word)) if word[k - 1 : k + 1] not in neighbours]
+        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])] if cuts else [word]
 
     def encode(self, texts: Sequence[bytes]) -> list[bytes]:
         """Ids of UTF-8 texts, as the bytes of numbers of ``kind``."""
@@ -208,8 +238,11 @@ class PieceEncoder:
         found = set().union(*split) if split else set()
         if len(self.known) + len(found) > self.most:
             self.known = {w: self.known[w] for w in found & self.known.keys()}
-        for w in found - self.known.keys():
-            self.known[w] = self._word((b" " + w).decode("utf-8", "replace").replace(" ", SPACE))
+        new = list(found.difference(self.known))
+        cut = [self._cut((b" " + w).decode("utf-8", "replace").replace(" ", SPACE)) for w in new]
+        self._learn(set().union(*cut))
+        part = self.parts.__getitem__
+        self.known.update((w, b"".join(map(part, ps))) for w, ps in zip(new, cut))
         get = self.known.__getitem__
         return [b"".join(map(get, ws)) for ws in split]
 
@@ -239,7 +272,7 @@ def encode_texts(docs: DataFrame, model_path: str, keep: Sequence[str] = ("doc_i
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = piece_encoder(model_path)
         for batch in batches:
-            for a, b, data, at in text_slices(batch.column(len(keep))):
+            for a, b, data, at in text_slices(batch.column(len(keep)), SLICE):
                 raw = data.tobytes()
                 lists = coder.encode([raw[at[i] : at[i + 1]] for i in range(b - a)])
                 sizes = np.array([len(x) // coder.kind.itemsize for x in lists], np.int64)

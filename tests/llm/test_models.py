@@ -108,6 +108,26 @@ def test_stream_is_bounded():
         assert early > len(ids) - 64 and stream.widest < 200
 
 
+def test_parts_share_the_search_of_their_beginnings(monkeypatch):
+    import sentencepiece
+
+    sp, searched = sentencepiece.SentencePieceProcessor(model_file=PIECES), []
+    advance = pieces.StreamingViterbi._advance
+    monkeypatch.setattr(
+        pieces.StreamingViterbi, "_advance", lambda self, text: (searched.append(len(text)), advance(self, text))[1]
+    )
+    stems = ["theretionshand", "ontheandingher", "zzqqthe日本ed", "strength" * 40]
+    words = [s + e for s in stems for e in ("", "s", "ed", "ing", "er", "ers", "ly", "ness", "x", "é")]
+    texts = [" ".join(words), " ".join(reversed(words)), *words]
+    encoder = pieces.PieceEncoder(pieces.PieceModel.load(PIECES))
+    coded = encoder.encode([t.encode() for t in texts])
+    assert [np.frombuffer(x, encoder.kind).tolist() for x in coded] == [sp.encode(t) for t in texts]
+    searched.clear()
+    short = [w + "y" for w in words[:20]]
+    assert np.frombuffer(encoder.encode([" ".join(short).encode()])[0], encoder.kind).tolist() == sp.encode(" ".join(short))
+    assert 0 < sum(searched) < sum(map(len, short)) / 2
+
+
 # --- languages ----------------------------------------------------------------------------------
 
 SOUNDS = {"aa": ["ka", "lo", "mi", "ten", "ra"], "bb": ["shu", "gri", "elt", "on", "ver"], "cc": ["ñe", "ço", "úl", "ra", "do"]}
