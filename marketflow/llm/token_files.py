@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketflow.llm.blocks import text_slices
+from marketflow.llm.blocks import IS_SEPARATOR, text_slices
 from marketflow.llm.shipping import arrow_map
 from marketflow.session import scratch_path, stored
 
@@ -161,40 +161,75 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+#: Kinds of bytes: white space, ASCII letter, digit, apostrophe, other ASCII mark, part of a longer character.
+SPACE, LETTER, DIGIT, APOSTROPHE, MARK, HIGH = range(6)
+KINDS = np.full(256, MARK, np.uint8)
+KINDS[128:] = HIGH
+KINDS[list(range(65, 91)) + list(range(97, 123))] = LETTER
+KINDS[48:58] = DIGIT
+KINDS[39] = APOSTROPHE
+KINDS[IS_SEPARATOR] = SPACE
+
+#: Whether a piece may end between two kinds of bytes.  An apostrophe may belong to the letter behind it
+#: ('s), and a longer character may be a letter, a mark or an accent of the character before it.
+PARTS = np.zeros((6, 6), bool)
+PARTS[LETTER, [DIGIT, APOSTROPHE, MARK]] = True
+PARTS[DIGIT, [LETTER, DIGIT, APOSTROPHE, MARK]] = True
+PARTS[MARK, [LETTER, DIGIT]] = True
+PARTS[SPACE, 1:] = True
+
+#: The first bytes of characters from U+0300 on; only there a character can be an accent.
+FIRST_ACCENT = 0xCC
+
+
 class WordEncoder:
-    """Ids of texts, through a bounded memory of the ids of words.
+    """Ids of texts, through a bounded memory of the ids of pieces of words.
 
     It holds for tokenizers whose pre-tokenizer drops white space and never joins across it, as the
     word-end BPE file does: then the ids of a text are those of its words, one after the other.  That
-    file also sets a closing mark apart from an ASCII letter before it and reads capitals as small
-    letters, so words are looked up without both; ``lower_case=False`` is for files that do not.
+    file also sets ASCII letters, single digits and runs of marks apart and reads capitals as small
+    letters, so words are cut there and looked up without capitals; ``lower_case=False`` is for files
+    that do not.
     """
 
-    def __init__(self, path: str, id_bytes: int, most: int = 300_000, lower_case: bool = True):
+    def __init__(self, path: str, id_bytes: int, most: int = 250_000, lower_case: bool = True):
         self.tokenizer, self.code, self.most = _tokenizer(path), {2: "H", 4: "I"}[id_bytes], most
         self.lower_case = lower_case
         self.width = id_bytes
         vocabulary = self.tokenizer.get_vocab(True)
         self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
         self.word_end[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
-        self.plain: dict[bytes, bytes] = {}
-
-    def _plain(self, new: list[bytes]) -> tuple[list[bytes], list[bytes]]:
-        """The words without closing mark and capitals, and the marks."""
-        if not self.lower_case:
-            return new, [b""] * len(new)
-        stems, marks = [], []
-        for w in new:
-            mark = w[-1:]
-            if (mark == b"." or mark == b",") and w[-2:-1].isalpha():
-                w = w[:-1]
-            else:
-                mark = b""
-            # a special token must be written as it stands, and a capital before a combining mark is no ASCII word
-            stems.append(w.lower() if w.isascii() and b"<" not in w else w)
-            marks.append(mark)
-        return stems, marks
+        self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # pieces met lately, and those met before the last time that the first were too many
+        self.recent: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """All pieces of the texts, and the index of each text's first piece (and the end)."""
+        kinds = KINDS[data]
+        word = kinds != SPACE
+        begins = word.copy()
+        if self.lower_case:
+            begins[1:] = PARTS.ravel()[kinds[:-1] * np.uint8(6) + kinds[1:]]
+            capital = (data >= 65) & (data <= 90)
+            capital[:-1] &= data[1:] < FIRST_ACCENT
+            small = data.tobytes().lower()
+            for name in self.special:  # written as it stands, and in one piece
+                at = small.find(name)
+                while at >= 0:
+                    begins[at + 1 : at + len(name)] = False
+                    capital[at : at + len(name)] = False
+                    at = small.find(name, at + 1)
+            data = data | (capital.view(np.uint8) << 5)
+        else:
+            begins[1:] &= ~word[:-1]
+        firsts = offsets[:-1][offsets[:-1] < offsets[1:]]
+        begins[firsts] = word[firsts]
+        first_piece = np.searchsorted(np.flatnonzero(begins), offsets)
+        letters = data[word]
+        cuts = np.append(np.flatnonzero(begins[word]), len(letters)).astype(np.int32)
+        buffers = [None, pa.py_buffer(cuts), pa.py_buffer(letters)]
+        return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, buffers), first_piece
 
     def _joined(self, letters: list[bytes]) -> list[bytes]:
         """Ids of words of letters alone, encoded as texts of 100: each ends with its one word-end token."""
@@ -216,29 +251,29 @@ class WordEncoder:
         return out
 
     def _learn(self, new: list[bytes]) -> None:
-        stems, marks = self._plain(new)
-        needed = {*stems, b".", b","} - self.plain.keys()
-        if len(self.plain) + len(needed) > self.most:
-            self.plain = {}
-            needed = {*stems, b".", b","}
-        plain = self.plain
-        letters = [w for w in needed if w.decode().isalpha()] if self.lower_case else []
-        plain.update(zip(letters, self._joined(letters)))
-        others = list(needed.difference(letters))
+        letters, others = [], []
+        for w in new:
+            (letters if self.lower_case and w.decode().isalpha() else others).append(w)
+        self.recent.update(zip(letters, self._joined(letters)))
         coded = self.tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)
-        plain.update((w, array(self.code, e.ids).tobytes()) for w, e in zip(others, coded))
-        end = {b"": b"", b".": plain[b"."], b",": plain[b","]}
-        self.known.update(zip(new, [plain[s] + end[m] for s, m in zip(stems, marks)]))
-
-    def encode(self, texts: Sequence[bytes]) -> list[bytes]:
-        """Little-endian ids of each text."""
-        split = [t.split() for t in texts]
-        found = set().union(*split) if split else set()
-        if len(self.known) + len(found) > self.most:
-            self.known = {w: self.known[w] for w in found & self.known.keys()}
-        self._learn(list(found - self.known.keys()))
-        get = self.known.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
+        self.recent.update((w, array(self.code, e.ids).tobytes()) for w, e in zip(others, coded))
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """Little-endian ids of each text; the texts are ``data`` between ``offsets``."""
+        pieces, first_piece = self._pieces(data, offsets)
+        distinct = pieces.dictionary_encode()
+        found = distinct.dictionary.to_numpy(zero_copy_only=False).tolist()
+        lost = [w for w in found if w not in self.recent]
+        if len(self.recent) + len(lost) > self.most:
+            self.older, self.recent, lost = self.recent, {}, found
+        older = self.older
+        self.recent.update((w, older[w]) for w in lost if w in older)
+        self._learn([w for w in lost if w not in older])
+        ids = pa.array(list(map(self.recent.__getitem__, found)), pa.large_binary()).take(distinct.indices)
+        _, ends, raw = ids.buffers()
+        cuts = np.frombuffer(ends, np.int64)[first_piece].tolist()
+        raw = memoryview(raw or b"")
+        return [bytes(raw[i:j]) for i, j in zip(cuts, cuts[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -274,9 +309,8 @@ def write_token_files(
         name = f"{base}/ids-{uuid.uuid4().hex}.zst"
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for a, b, data, at in text_slices(batch.column(1)):
-                raw = data.tobytes()
-                coded = coder.encode([raw[at[i] : at[i + 1]] for i in range(b - a)])
+            for a, b, data, at in text_slices(batch.column(1), 2 << 20):
+                coded = coder.encode(data, at)
                 if out is None:
                     store.create_dir(base, recursive=True)
                     sink = store.open_output_stream(name, compression=None)

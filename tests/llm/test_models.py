@@ -1,6 +1,7 @@
 """Token files, pieces, languages, toxicity and the pipeline."""
 
 import io
+import itertools
 import random
 import re
 import zlib
@@ -48,6 +49,44 @@ def test_token_files_hold_the_tokenizers_ids(spark, odd_rows):
     assert sorted((r["doc_id"], r["start"], len(r["ids"])) for r in some) == [by_id[4][:3], by_id[104][:3]]
 
 
+class Asked:
+    """A tokenizer that notes how many words it is asked for."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.words = tokenizer, 0
+
+    def encode_batch_fast(self, texts, add_special_tokens):
+        self.words += sum(len(t.split()) for t in texts)
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+
+def test_words_with_other_marks_capitals_and_numbers_are_not_encoded_anew():
+    stems = ["".join(p) for p in itertools.product("aou", "lmnr", "aeé", "st")]
+    forms = ["{}", "{}.", "{},###", "({})", "{}***", "{}17", "4{}%%%"]
+    texts = [" ".join(f.format(w) for w in stems) for f in forms]
+    texts += [" ".join(f.format(w.capitalize()) for w in stems) for f in forms]
+    encoder = token_files.WordEncoder(WORDS, 2)
+    tokenizer, encoder.tokenizer = encoder.tokenizer, Asked(encoder.tokenizer)
+    got = [i for a, b, data, at in text_slices(pa.array(texts), 2000) for i in encoder.encode(data, at)]
+    assert got == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    assert encoder.tokenizer.words <= len(stems) + 12  # each word once, and the marks and digits
+
+
+@pytest.mark.parametrize("most", [50, 250_000])
+def test_pieces_of_words_have_the_ids_of_whole_texts(most):
+    parts = [
+        "a", "B", "I", "H", "ll", "'", "'s", "'S", "’", "1", "23", "²", "½", "٣", ".", "-", "=", "<", "|>", "<|endoftext|>",
+        "<|EndOfText|>", "<|end", "oftext|>", "\u0301", "\u0338", "\u0331", "\u0307", "é", "ẞ", "İ", "ſ", "\u212a", "\u0958",
+        "한", "\u1112", "\u1161", "日本", "😀", "\u200d", "\u00a0", "\u3000", "\u0085", "\x1c", "\x00", " ", " ", "\n", "Σ",
+    ]
+    rng = random.Random(3)
+    texts = ["".join(rng.choices(parts, k=rng.choice([0, 1, 2, 3, 6, 40]))) for _ in range(4000)]
+    encoder = token_files.WordEncoder(WORDS, 2, most=most)
+    got = [i for a, b, data, at in text_slices(pa.array(texts), 900) for i in encoder.encode(data, at)]
+    want = encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    assert got == [np.array(w.ids, "<u2").tobytes() for w in want]
+
+
 def test_token_files_of_no_rows(spark):
     files = token_files.write_token_files(make_docs(spark, [(1, "x")]).limit(0), WORDS, end_id=2)
     assert files.count() == 0
