@@ -81,6 +81,16 @@ def test_strings_of_bytes(spark, seed):
     assert rows(bytepassages.string_report(make_docs(spark, docs).repartition(5))) == brute_bytes(docs)
 
 
+def test_strings_begin_at_400_bytes(spark):
+    """A shared string of 399 bytes stays, however many words it has; one of 400 goes, from its first text too."""
+    words = " ".join(f"w{i}" for i in range(51))
+    docs = [(1, words + " one"), (2, words + " other")]
+    docs += [(3, "é" + "x" * 399 + "a"), (4, "è" + "y" * 2 + "x" * 399 + "b"), (5, "c" + "𐍈" * 100), (6, "d" + "𐍈" * 100)]
+    got = rows(bytepassages.string_report(make_docs(spark, docs)))
+    assert got == brute_bytes(docs)
+    assert [r[2] for r in got] == [0, 0, 0, 0, 400, 400]
+
+
 def test_odd_rows(spark, odd_rows):
     df = make_docs(spark, odd_rows)
     assert rows(substrings.repeat_report(df)) == brute_words(odd_rows)
