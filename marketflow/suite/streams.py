@@ -27,10 +27,13 @@ def _lines(t):
     )
 
 
-def _words(t):
-    return X.split_words(_lines(t))
+def _words(t, lists: bool = False):
+    return X.split_words(_lines(t), lists=lists)
 
 
+#: A window of ten hours has 600 documents, with a thousand words or more for each part.
+PARTS = 64
+
 DOC_WORDS = """
 w AS (SELECT unnest(string_split(text, ' ')) AS word, make_timestamp(doc_id * 60000000) AS ts FROM documents)
 """
@@ -99,7 +102,7 @@ def _(t):
 )
 def _(t):
     # Append mode: a window is out once the watermark, two minutes behind the newest time, passes its end.
-    counted = X.windowed_word_counts(_words(t), "10 hours", "5 hours", watermark="2 minutes")
+    counted = X.windowed_word_counts(_words(t, lists=True), "10 hours", "5 hours", watermark="2 minutes", parts=PARTS)
     out, _ = K.run_append(counted)
     return _flat(out)
 
