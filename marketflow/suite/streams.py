@@ -76,7 +76,7 @@ def _(t):
     "FROM k GROUP BY ALL",
 )
 def _(t):
-    return _flat(K.run_complete(X.windowed_word_counts(_words(t), "10 hours", "5 hours")))
+    return _flat(K.run_complete(X.windowed_word_counts(_words(t, lists=True), "10 hours", "5 hours", parts=PARTS)))
 
 
 @query(

@@ -107,7 +107,7 @@ def test_lines_without_words_do_not_close_windows(spark):
     assert rows(flat(out)) == [r for r in expected(lines) if r[1] <= AT + dt.timedelta(seconds=9)]
 
 
-@pytest.mark.parametrize("name", ["st_07_watermarked_word_counts"])
+@pytest.mark.parametrize("name", ["st_05_windowed_word_counts", "st_07_watermarked_word_counts"])
 def test_state_of_a_window_is_few_rows(spark, tmp_path, monkeypatch, name):
     """20,000 different words in two windows were 40,000 rows of state, each read, written and scanned."""
     docs = [(k, " ".join(f"w{k}x{i}" for i in range(5000))) for k in range(4)]
