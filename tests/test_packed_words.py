@@ -1,10 +1,13 @@
 """Windows of words whose state is packed: the same counts as a row of state per word, in far fewer rows."""
 
 import datetime as dt
+import subprocess
+import sys
 from collections import Counter
 
 import pytest
 from conftest import rows
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -107,6 +110,26 @@ def test_lines_without_words_do_not_close_windows(spark):
     assert rows(flat(out)) == [r for r in expected(lines) if r[1] <= AT + dt.timedelta(seconds=9)]
 
 
+def test_watermark_set_before(spark):
+    words = X.split_words(streamed(spark, table(spark)).withWatermark("timestamp", "2 seconds"), lists=True)
+    out, _ = K.run_append(X.windowed_word_counts(words, "10 seconds", "5 seconds", parts=3))
+    assert rows(flat(out)) == [r for r in expected() if r[1] <= AT + dt.timedelta(seconds=61 - 2)]
+
+
+def test_functions_need_no_package_on_executors():
+    """Executors of a cluster have pyarrow, and this package only where it was sent."""
+    code = (
+        "import pickle, sys; pack, unpack = pickle.load(sys.stdin.buffer); import pyarrow as pa; "
+        "rows = [pa.array([1, 2]), pa.array([['a', 'b', 'a'], ['a']])]; "
+        "out = next(pack([pa.RecordBatch.from_arrays(rows, ['ts', 'words'])])).column(2); "
+        "lists = pa.ListArray.from_arrays(pa.array([0, len(out)], pa.int32()), out); "
+        "assert sorted((e['word'], e['n']) for e in unpack(lists)[0].as_py()) == [('a', 3), ('b', 1)]; "
+        "assert 'marketflow' not in sys.modules"
+    )
+    both = cloudpickle.dumps((P._packer("ts", 10, 5, 3), P._unpacker()))
+    subprocess.run([sys.executable, "-c", code], input=both, check=True, cwd="/")
+
+
 @pytest.mark.parametrize("name", ["st_05_windowed_word_counts", "st_07_watermarked_word_counts"])
 def test_state_of_a_window_is_few_rows(spark, tmp_path, monkeypatch, name):
     """20,000 different words in two windows were 40,000 rows of state, each read, written and scanned."""
